@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..scale import BROADCAST_ROWS, broadcast_if_small, local_frame
+from ..scale import DRIVER_IDS, local_frame, stage
 from ..sources.concept_files import ConceptSpec
 
 # Sets up to this size become an IN predicate, which the Parquet scan can use to skip row groups.
@@ -15,9 +15,13 @@ PREDICATE_IDS = 1_000
 
 
 def ids_frame(spark: SparkSession, ids: Sequence[int] | DataFrame) -> DataFrame:
-    """A distinct ``concept_id`` column; no ids give a typed empty frame."""
+    """A distinct ``concept_id`` column; no ids give a typed empty frame.
+
+    Ids that come from a table are collected from it once and staged, since look-ups join them
+    several times and the right join depends on how many there are.
+    """
     if isinstance(ids, DataFrame):
-        return ids.select(F.col(ids.columns[0]).cast("bigint").alias("concept_id")).distinct()
+        return stage(ids.select(F.col(ids.columns[0]).cast("bigint").alias("concept_id")).distinct())
     unique = list(dict.fromkeys(int(i) for i in ids))
     return local_frame(spark, {"concept_id": unique}, {"concept_id": pa.int64()})
 
@@ -61,7 +65,7 @@ def expand(
 
 
 def _found(concept: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
-    return concept.select("concept_id", *columns).join(broadcast_if_small(ids), "concept_id", "left_semi")
+    return concept.select("concept_id", *columns).join(ids, "concept_id", "left_semi")
 
 
 def concept_names(spark: SparkSession, concept: DataFrame, ids: Sequence[int] | DataFrame) -> DataFrame:
@@ -85,13 +89,12 @@ def set_details(concept: DataFrame, sets: DataFrame, specs: Mapping[str, Concept
 
     Ids the vocabulary lacks do not appear here, though the summary counts them.
     """
-    spark = concept.sparkSession
-    named = named_ids(spark, {n: s.ids for n, s in specs.items()})
+    named = named_ids(concept.sparkSession, {n: s.ids for n, s in specs.items()}).withColumn("named", F.lit(1))
     columns = ["concept_name", "concept_code", "concept_class_id", "vocabulary_id", "domain_id"]
-    marked = sets.join(named.withColumn("named", F.lit(1)), ["set_name", "concept_id"], "left")
     details = concept.select("concept_id", *[c for c in columns if c in concept.columns])
     return (
-        details.join(broadcast_if_small(marked), "concept_id")
+        details.join(sets, "concept_id")
+        .join(named, ["set_name", "concept_id"], "left")
         .withColumn("is_original", F.coalesce("named", F.lit(0)))
         .drop("named")
     )
@@ -113,7 +116,7 @@ def set_summary(sets: DataFrame, specs: Mapping[str, ConceptSpec]) -> DataFrame:
 class ConceptSets:
     """The resolved sets of a study.
 
-    Sets are resolved once, by one job over the hierarchy. Up to ``BROADCAST_ROWS`` ids in all
+    Sets are resolved once, by one job over the hierarchy. Up to ``DRIVER_IDS`` ids in all
     they become a local relation the optimizer can size and broadcast; beyond that they stay a
     distributed frame and joins with them shuffle.
     """
@@ -133,8 +136,8 @@ class ConceptSets:
         if not any(s.include_descendants for s in specs.values()):
             return cls.of_lists(spark, {n: s.ids for n, s in specs.items()})
         expanded = expand_named(spark, ancestor, specs)
-        head = expanded.limit(BROADCAST_ROWS + 1).toArrow()
-        if head.num_rows > BROADCAST_ROWS:
+        head = expanded.limit(DRIVER_IDS + 1).toArrow()
+        if head.num_rows > DRIVER_IDS:
             return cls(spark, expanded, None)
         ids: dict[str, list[int]] = {name: [] for name in specs}
         for name, concept in zip(head["set_name"].to_pylist(), head["concept_id"].to_pylist()):

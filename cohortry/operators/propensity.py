@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..scale import broadcast_if_small
+from ..scale import stage
 
 TREATMENT = "treatment"
 
@@ -50,14 +50,14 @@ def numeric_text(df: DataFrame, columns: Sequence[str]) -> list[str]:
 def encode_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Text replaced by its position, from 0, in the sorted distinct values; null stays null.
 
-    The distinct labels are ranked, never the rows. Labels go back by broadcast when few; a column
-    of very many labels falls to a shuffle join.
+    The distinct labels are ranked, never the rows, and staged, so that few labels go back by
+    broadcast, which a dominating label does not skew, and very many by a shuffle join.
     """
     if not columns:
         return df
     labels = df.select(*columns).unpivot([], list(columns), "feature", "label").filter("label IS NOT NULL").distinct()
-    ranked = labels.withColumn("code", F.row_number().over(Window.partitionBy("feature").orderBy("label")) - 1)
-    ranked = broadcast_if_small(ranked)
+    position = F.row_number().over(Window.partitionBy("feature").orderBy("label")) - 1
+    ranked = stage(labels.withColumn("code", position))
     out = df
     for c in columns:
         codes = ranked.filter(F.col("feature") == c).select(F.col("label").alias(c), F.col("code").cast("double"))

@@ -1,7 +1,9 @@
 """Size checks and staged tables.
 
-Two rules of the library live here: nothing is broadcast before its size is known, and a frame
-that feeds several later steps is written once to shared storage instead of being recomputed.
+The library leaves broadcasting to the optimizer, which does it below
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles above. That is only right when sizes are true,
+so small driver-side data becomes a local relation of known size, and a derived frame that feeds
+several later steps is written once to shared storage and read back with its real size.
 """
 
 from __future__ import annotations
@@ -10,10 +12,10 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-# Rows of a two-column id frame that still make a small broadcast (about 16 MB).
-BROADCAST_ROWS = 1_000_000
+# Ids a study may hold on the driver (about 16 MB); larger sets stay distributed.
+DRIVER_IDS = 1_000_000
 
 
 def local_frame(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
@@ -26,14 +28,6 @@ def local_frame(spark: SparkSession, columns: dict[str, list], types: dict[str,
     return spark.createDataFrame(pa.table(arrays))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the frame has at most ``max_rows`` rows, else leave a shuffle join.
-
-    Counting costs one job over ``df``; use it for narrow id frames only.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: ``spark.checkpoint.dir`` of the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -9,6 +9,7 @@ from functools import partial
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cohortry.sources.tables import ClinicalTables
 
@@ -81,10 +82,24 @@ def duckdb_view(name: str) -> str:
     return VIEWS[name].format(**{slot: slot for slot in _slots(VIEWS[name])})
 
 
-def _spark_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    sources = {slot: spark.read.parquet(f"{folder}/{slot}.parquet") for slot in _slots(VIEWS[name])}
-    return spark.sql(VIEWS[name], **sources)
+# Schemas of the test tables, kept so that each is read from file metadata only once.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def _source(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    path = f"{folder}/{table}.parquet"
+    if table not in _SCHEMAS:
+        _SCHEMAS[table] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[table]).parquet(path)
 
 
 def clinical_tables(spark: SparkSession, folder: str) -> ClinicalTables:
-    return ClinicalTables(spark, {name: partial(_spark_view, spark, folder, name) for name in VIEWS})
+    sources: dict[str, DataFrame] = {}
+
+    def view(name: str) -> DataFrame:
+        slots = _slots(VIEWS[name])
+        for slot in slots - sources.keys():
+            sources[slot] = _source(spark, folder, slot)
+        return spark.sql(VIEWS[name], **{slot: sources[slot] for slot in slots})
+
+    return ClinicalTables(spark, {name: partial(view, name) for name in VIEWS})
