@@ -29,15 +29,18 @@ def local_frame(spark: SparkSession, columns: dict[str, list], types: dict[str,
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder for staged tables: ``spark.checkpoint.dir`` of the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for staged tables: ``spark.checkpoint.dir``, or the context's checkpoint folder.
+
+    A temporary folder is used only where neither is set and everything runs in one process.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cohortry-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="cohortry-"))
+    return context.getCheckpointDir()
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
-"""Writing results. Every sink writes a folder of part files in parallel."""
+"""Writing results and reading them back. Every sink writes a folder of part files in parallel."""
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -20,6 +21,12 @@ def write_csv(df: DataFrame, path: str) -> str:
     return write_table(df, path, "csv")
 
 
+def read_back(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv") -> DataFrame:
+    """A written result with its types; CSV columns are matched by position as they were written."""
+    reader = spark.read.schema(schema)
+    return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+
+
 def save_with_suffix(df: DataFrame, base: str, suffix: str | None = None, fmt: str = "csv") -> str:
     """Write to ``{base}_{suffix}.{fmt}``; the suffix defaults to today as YYYYMMDD."""
     return write_table(df, f"{base}_{suffix or date.today().strftime('%Y%m%d')}.{fmt}", fmt)

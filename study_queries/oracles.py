@@ -390,6 +390,7 @@ CHECKS: dict[str, str] = {
     "sql_query": "SELECT visit_concept_id, COUNT(*) AS n FROM visit_occurrence GROUP BY visit_concept_id",
     "csv_person": "SELECT person_id, year_of_birth, month_of_birth, gender_concept_id, CAST(birth_datetime AS DATE) AS born FROM person",
     "csv_measurement": "SELECT measurement_id, person_id, measurement_concept_id, measurement_date, value_as_number FROM measurement",
+    "csv_arms": f"SELECT {_ARM_COLUMNS}, exposure_index_date, exposure_concept_id, days_from_index, age_at_exposure_index, user_flag FROM arms",
     "evidence_condition": "SELECT person_id, first_date FROM first_dx",
     "evidence_measure": "SELECT person_id, measurement_date, ROUND(value, 6) AS value FROM readings",
     "evidence_high": "SELECT person_id, first_high FROM first_high",
@@ -515,6 +516,9 @@ CHECKS: dict[str, str] = {
         SELECT measurement_id, ROUND(TRY_CAST(value_as_number AS DOUBLE) / NULLIF(h * h, 0), 6) AS bmi
         FROM (SELECT measurement_id, value_as_number, measurement_concept_id * 20 / 100 AS h FROM measurement)""",
     "any_flag": "SELECT person_id, GREATEST(c_a, c_b, c_c) AS any_condition FROM covariates",
+    "combined_arms": """
+        SELECT person_id, user_flag AS treatment, exposure_index_date,
+               CASE WHEN user_flag = 0 THEN age_at_index END AS age_at_index FROM arms""",
     "encode": "SELECT person_id, sex FROM encoded",
     "medians": " UNION ALL ".join(f"SELECT '{f}' AS feature, ROUND({f}, 6) AS median FROM feature_medians" for f in FEATURES),
     "medians_wide": """

@@ -15,8 +15,7 @@ from cohortry.operators import matching, propensity, survival, windowed
 from cohortry.plans import steps
 from cohortry.scale import stage, staging_root
 from cohortry.sources.concept_files import exploded_ids
-from cohortry.sources.csv_tables import convert_to_parquet
-from cohortry.sources.sinks import write_csv
+from cohortry.sources.sinks import read_back, write_csv
 from cohortry.sources.tables import ClinicalTables
 
 from .study_setup import DRUGS, STUDY, WINDOWED_STUDY
@@ -313,6 +312,13 @@ def csv_measurement(c):
     return found["measurement"].drop("measurement_datetime")
 
 
+@query
+def csv_arms(c):
+    """Arms written as CSV and read back with their types."""
+    path = write_csv(c.arms, f"{_csv_folder(c)}/arms")
+    return read_back(c.spark, path, c.arms.schema)
+
+
 # Cohort, evidence rules
 
 
@@ -691,6 +697,13 @@ def any_flag(c):
 # Scores, matching, balance
 
 
+@query
+def combined_arms(c):
+    users_side = exposure.users(c.base, c.candidates).drop("days_from_index", "exposure_concept_id")
+    both = propensity.combine_arms(users_side, exposure.non_users(c.base, c.candidates))
+    return both.select("person_id", "treatment", "exposure_index_date", "age_at_index")
+
+
 @query
 def encode(c):
     return c.encoded.select("person_id", "sex")

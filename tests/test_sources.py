@@ -199,8 +199,10 @@ def test_sinks(spark, frame, folder):
     path = sinks.save_with_suffix(df, f"{folder}/base", "v1")
     assert path.endswith("base_v1.csv")
     assert sinks.save_with_suffix(df, f"{folder}/base").rsplit("_", 1)[1].removesuffix(".csv").isdigit()
-    back = spark.read.option("header", True).csv(path)
-    assert sorted((r.person_id, r.v) for r in back.collect()) == [("1", "a"), ("2", None)]
+    back = sinks.read_back(spark, path, df.schema)
+    assert back.dtypes == df.dtypes and sorted(map(tuple, back.collect())) == [(1, "a"), (2, None)]
+    again = sinks.read_back(spark, sinks.write_table(df, f"{folder}/p"), df.schema, "parquet")
+    assert sorted(map(tuple, again.collect())) == [(1, "a"), (2, None)]
 
 
 def test_staging_uses_the_session_folder(spark, frame):
@@ -208,3 +210,29 @@ def test_staging_uses_the_session_folder(spark, frame):
     assert staged.dtypes == [("a", "bigint"), ("b", "string")] and staged.count() == 1
     assert staged.inputFiles()[0].split(":", 1)[1].lstrip("/").startswith(staging_root(spark).split(":", 1)[-1].lstrip("/"))
     assert stage(frame([], "a long")).count() == 0
+
+
+class _Session:
+    """The parts of a session the staging folder depends on."""
+
+    def __init__(self, master, folder=None, set_in_context=None):
+        self.conf, self.sparkContext = self, self
+        self.master, self.folder, self.in_context = master, folder, set_in_context
+
+    def get(self, _, default):
+        return self.folder or default
+
+    def getCheckpointDir(self):
+        return self.in_context
+
+    def setCheckpointDir(self, folder):
+        self.in_context = folder
+
+
+def test_staging_folder_of_a_cluster():
+    assert staging_root(_Session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert staging_root(_Session("yarn", None, "hdfs:///context")) == "hdfs:///context"
+    with pytest.raises(RuntimeError):
+        staging_root(_Session("yarn"))
+    local = _Session("local[2]")
+    assert staging_root(local) == staging_root(local)
