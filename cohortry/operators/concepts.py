@@ -138,7 +138,7 @@ class ConceptSets:
         expanded = expand_named(spark, ancestor, specs)
         head = expanded.limit(DRIVER_IDS + 1).toArrow()
         if head.num_rows > DRIVER_IDS:
-            return cls(spark, expanded, None)
+            return cls(spark, stage(expanded), None)
         ids: dict[str, list[int]] = {name: [] for name in specs}
         for name, concept in zip(head["set_name"].to_pylist(), head["concept_id"].to_pylist()):
             ids[name].append(concept)

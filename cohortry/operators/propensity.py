@@ -37,27 +37,29 @@ def _text_columns(df: DataFrame, features: Sequence[str]) -> list[str]:
     return [f for f in features if kinds[f] == "string"]
 
 
-def numeric_text(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Text columns in which every non-null value reads as a number."""
-    if not columns:
-        return []
-    unreadable = df.agg(
-        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(c) for c in columns]
-    ).first()
-    return [c for c in columns if unreadable[c] == 0]
+def distinct_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Staged ``(feature, label)`` of text columns: one pass over the rows, and far fewer rows after it."""
+    long = df.select(*columns).unpivot([], list(columns), "feature", "label")
+    return stage(long.filter("label IS NOT NULL").distinct())
+
+
+def numeric_text(labels: DataFrame) -> list[str]:
+    """Features all of whose labels read as numbers."""
+    unreadable = labels.groupBy("feature").agg(F.count_if(F.col("label").try_cast("double").isNull()).alias("n"))
+    return [r.feature for r in unreadable.filter("n = 0").collect()]
 
 
-def encode_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def encode_labels(df: DataFrame, columns: Sequence[str], labels: DataFrame | None = None) -> DataFrame:
     """Text replaced by its position, from 0, in the sorted distinct values; null stays null.
 
-    The distinct labels are ranked, never the rows, and staged, so that few labels go back by
-    broadcast, which a dominating label does not skew, and very many by a shuffle join.
+    Labels are ranked, never the rows. Few labels go back by broadcast, which a dominating label
+    does not skew, very many by a shuffle join.
     """
     if not columns:
         return df
-    labels = df.select(*columns).unpivot([], list(columns), "feature", "label").filter("label IS NOT NULL").distinct()
+    labels = distinct_labels(df, columns) if labels is None else labels
     position = F.row_number().over(Window.partitionBy("feature").orderBy("label")) - 1
-    ranked = stage(labels.withColumn("code", position))
+    ranked = labels.filter(F.col("feature").isin(list(columns))).withColumn("code", position)
     out = df
     for c in columns:
         codes = ranked.filter(F.col("feature") == c).select(F.col("label").alias(c), F.col("code").cast("double"))
@@ -71,10 +73,11 @@ def to_numeric(df: DataFrame, features: Sequence[str], numeric: Sequence[str] |
     Declared ``numeric`` text is read value by value, unreadable values becoming null. Other text is
     read as numbers if all of it can be, else label-encoded.
     """
-    text = _text_columns(df, features)
-    declared = [c for c in text if c in (numeric or ())]
-    as_numbers = declared + numeric_text(df, [c for c in text if c not in declared])
-    df = encode_labels(df, [c for c in text if c not in as_numbers])
+    text = [c for c in _text_columns(df, features) if c not in (numeric or ())]
+    if text:
+        labels = distinct_labels(df, text)
+        numbers = numeric_text(labels)
+        df = encode_labels(df, [c for c in text if c not in numbers], labels)
     return df.withColumns({f: F.col(f).try_cast("double") for f in features})
 
 

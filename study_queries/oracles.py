@@ -122,7 +122,7 @@ STEPS: dict[str, str] = {
         WHERE rn = 1""",
     "user_candidates": """
         SELECT b.person_id, f.exposure_date AS exposure_index_date, f.exposure_concept_id,
-               date_diff('day', b.obesity_index_date, f.exposure_date) AS days_from_index
+               CAST(date_diff('day', b.obesity_index_date, f.exposure_date) AS INTEGER) AS days_from_index
         FROM base b JOIN first_use f ON f.person_id = b.person_id
         WHERE date_diff('day', b.obesity_index_date, f.exposure_date) BETWEEN 0 AND 730
           AND EXISTS (SELECT 1 FROM observation_period o WHERE o.person_id = b.person_id
@@ -388,7 +388,7 @@ CHECKS: dict[str, str] = {
     "acc_empty_set": "SELECT person_id, condition_occurrence_id FROM condition_occurrence WHERE 1 = 0",
     "date_range": f"SELECT person_id, death_date FROM death WHERE death_date {IN_STUDY}",
     "sql_query": "SELECT visit_concept_id, COUNT(*) AS n FROM visit_occurrence GROUP BY visit_concept_id",
-    "csv_person": "SELECT person_id, year_of_birth, month_of_birth, gender_concept_id, CAST(birth_datetime AS DATE) AS born FROM person",
+    "csv_person": "SELECT person_id, year_of_birth, month_of_birth, CAST(gender_concept_id AS BIGINT) AS gender_concept_id, CAST(birth_datetime AS DATE) AS born FROM person",
     "csv_measurement": "SELECT measurement_id, person_id, measurement_concept_id, measurement_date, value_as_number FROM measurement",
     "csv_arms": f"SELECT {_ARM_COLUMNS}, exposure_index_date, exposure_concept_id, days_from_index, age_at_exposure_index, user_flag FROM arms",
     "evidence_condition": "SELECT person_id, first_date FROM first_dx",
@@ -568,7 +568,7 @@ CHECKS: dict[str, str] = {
         SELECT COUNT(DISTINCT person_id) AS n_persons, COUNT(*) AS n_records,
                ROUND(COUNT(*) / COUNT(DISTINCT person_id), 6) AS records_per_person FROM measurement""",
     "follow_up": """
-        SELECT person_id, date_diff('day', s, e) AS days, ROUND(date_diff('day', s, e) / 30.44, 6) AS months,
+        SELECT person_id, CAST(date_diff('day', s, e) AS INTEGER) AS days, ROUND(date_diff('day', s, e) / 30.44, 6) AS months,
                ROUND(date_diff('day', s, e) / 365.25, 6) AS years,
                LEAST(e, CAST(s + INTERVAL 24 MONTH AS DATE)) AS capped_end
         FROM (SELECT person_id, observation_period_start_date AS s, observation_period_end_date AS e FROM observation_period)""",

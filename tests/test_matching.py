@@ -116,6 +116,19 @@ def test_labels_and_numeric_text(frame):
     ], key=str)
 
 
+def test_label_checks_read_the_rows_once(frame):
+    df = frame([("b", "1"), ("a", "2"), (None, None)], "x string, y string")
+    labels = propensity.distinct_labels(df, ["x", "y"])
+    assert propensity.numeric_text(labels) == ["y"]
+    codes = propensity.encode_labels(df, ["x"], labels).collect()
+    assert sorted(((r.x, r.y) for r in codes), key=str) == sorted([(1.0, "1"), (0.0, "2"), (None, None)], key=str)
+
+
+def test_a_text_feature_without_values_is_dropped(frame):
+    df = propensity.to_numeric(frame([(None, 1)], "x string, y int"), ["x", "y"])
+    assert propensity.impute(df, ["x", "y"])[1] == ["y"]
+
+
 def newton(x, y):
     x1 = np.column_stack([np.ones(len(x)), x])
     penalty = np.diag([0.0] + [1.0] * x.shape[1])
