@@ -50,17 +50,15 @@ STEPS: dict[str, str] = {
         UNION ALL SELECT 'beta', concept_id FROM set_beta
         UNION ALL SELECT 'gamma', concept_id FROM set_gamma""",
     # Evidence rules.
-    "first_dx": f"""
-        SELECT person_id, MIN({CONDITION_DAY}) AS first_date FROM condition_occurrence
-        WHERE condition_concept_id IN (SELECT concept_id FROM set_conditions) GROUP BY person_id""",
+    "condition_days": f"SELECT person_id, condition_concept_id AS concept_id, {CONDITION_DAY} AS day FROM condition_occurrence",
+    "drug_days": f"SELECT person_id, drug_concept_id AS concept_id, drug_exposure_id AS event_id, {DRUG_DAY} AS day FROM drug_exposure",
+    "first_dx": "SELECT person_id, MIN(day) AS first_date FROM condition_days SEMI JOIN set_conditions USING (concept_id) GROUP BY ALL",
     "readings": """
-        SELECT person_id, CAST(COALESCE(measurement_date, measurement_datetime) AS DATE) AS measurement_date,
+        SELECT person_id, COALESCE(measurement_date, measurement_datetime)::DATE AS measurement_date,
                TRY_CAST(value_as_number AS DOUBLE) AS value
         FROM measurement WHERE measurement_concept_id = 0 AND value_as_number IS NOT NULL""",
     "first_high": "SELECT person_id, MIN(measurement_date) AS first_high FROM readings WHERE value >= 30 GROUP BY person_id",
-    "comorbid": f"""
-        SELECT person_id, {CONDITION_DAY} AS event_date FROM condition_occurrence
-        WHERE condition_concept_id IN (SELECT concept_id FROM set_comorbidities)""",
+    "comorbid": "SELECT person_id, day AS event_date FROM condition_days SEMI JOIN set_comorbidities USING (concept_id)",
     "banded": """
         SELECT person_id, measurement_date FROM readings r
         WHERE value >= 27 AND value < 30
@@ -72,9 +70,14 @@ STEPS: dict[str, str] = {
         UNION ALL SELECT person_id, first_high, 'bmi_ge_30', 2 FROM first_high
         UNION ALL SELECT person_id, first_banded, 'bmi_ge_27_plus_comorb', 3 FROM first_banded""",
     "chosen": """
-        SELECT person_id, index_date, index_source FROM (
-            SELECT *, ROW_NUMBER() OVER (PARTITION BY person_id ORDER BY index_date, source_rank) AS rn FROM candidates)
-        WHERE rn = 1""",
+        SELECT person_id, index_date, index_source FROM candidates
+        QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY index_date, source_rank) = 1""",
+    "flagged": """
+        SELECT c.*, """ + ", ".join(
+        f"""(SELECT COUNT(*) FROM candidates x WHERE x.person_id = c.person_id AND x.index_date = c.index_date
+                AND x.source_rank = {rank})::INTEGER AS {flag}"""
+        for rank, flag in enumerate(("obesity_dx_flag", "bmi_ge_30_flag", "bmi_ge_27_plus_comorb_flag"), start=1)
+    ) + " FROM chosen c",
     "core": """
         SELECT person_id,
                COALESCE(CAST(birth_datetime AS DATE),
@@ -84,49 +87,39 @@ STEPS: dict[str, str] = {
         FROM person""",
     "first_death": "SELECT person_id, MIN(death_date) AS death_date FROM death WHERE death_date IS NOT NULL GROUP BY person_id",
     "seen_before": """
-        SELECT DISTINCT i.person_id FROM chosen i JOIN visit_occurrence v ON i.person_id = v.person_id
-        WHERE CAST(COALESCE(v.visit_start_date, v.visit_start_datetime) AS DATE) < i.index_date""",
+        SELECT person_id FROM chosen c WHERE EXISTS (
+            FROM visit_occurrence v WHERE v.person_id = c.person_id
+            AND COALESCE(v.visit_start_date, v.visit_start_datetime)::DATE < c.index_date)""",
     "covered_index": """
-        SELECT DISTINCT i.person_id FROM chosen i JOIN observation_period o ON i.person_id = o.person_id
-        WHERE i.index_date BETWEEN o.observation_period_start_date AND o.observation_period_end_date""",
-    "cohort": f"""
-        SELECT i.person_id, i.index_date, i.index_source,
-               CASE WHEN d.person_id IS NOT NULL THEN 1 ELSE 0 END AS obesity_dx_flag,
-               CASE WHEN h.person_id IS NOT NULL THEN 1 ELSE 0 END AS bmi_ge_30_flag,
-               CASE WHEN b.person_id IS NOT NULL THEN 1 ELSE 0 END AS bmi_ge_27_plus_comorb_flag,
-               p.birth_date, {_rounded_age('p.birth_date', 'i.index_date')} AS age_at_index,
-               p.gender_concept_id, p.race_concept_id, p.ethnicity_concept_id, f.death_date
-        FROM chosen i JOIN core p ON p.person_id = i.person_id
-        LEFT JOIN first_dx d ON d.person_id = i.person_id AND d.first_date = i.index_date
-        LEFT JOIN first_high h ON h.person_id = i.person_id AND h.first_high = i.index_date
-        LEFT JOIN first_banded b ON b.person_id = i.person_id AND b.first_banded = i.index_date
-        LEFT JOIN first_death f ON f.person_id = i.person_id
-        WHERE i.index_date {IN_STUDY} AND i.index_date >= DATE '1995-03-01'
-          AND p.birth_date IS NOT NULL AND i.index_date >= p.birth_date
-          AND {_rounded_age('p.birth_date', 'i.index_date')} >= 18
-          AND (f.death_date IS NULL OR i.index_date <= f.death_date)
-          AND i.person_id IN (SELECT person_id FROM seen_before)
-          AND i.person_id IN (SELECT person_id FROM covered_index)""",
+        SELECT person_id FROM chosen c WHERE EXISTS (
+            FROM observation_period o WHERE o.person_id = c.person_id AND c.index_date >= o.observation_period_start_date
+            AND c.index_date <= o.observation_period_end_date)""",
+    "aged": f"""
+        SELECT f.*, birth_date, {_rounded_age('birth_date', 'index_date')} AS age_at_index,
+               gender_concept_id, race_concept_id, ethnicity_concept_id
+        FROM flagged f JOIN core USING (person_id)""",
+    "cohort": """
+        SELECT a.*, death_date
+        FROM aged a SEMI JOIN seen_before USING (person_id) SEMI JOIN covered_index USING (person_id)
+        LEFT JOIN first_death USING (person_id)
+        WHERE index_date BETWEEN DATE '1995-03-01' AND DATE '2001-12-31' AND age_at_index >= 18
+          AND birth_date <= index_date AND COALESCE(death_date >= index_date, TRUE)""",
     # Exposure, evidence rules.
     "base": """
         SELECT person_id, index_date AS obesity_index_date, index_source, birth_date, age_at_index,
                gender_concept_id, race_concept_id, ethnicity_concept_id, death_date FROM cohort""",
-    "exposures": f"""
-        SELECT person_id, drug_concept_id AS concept_id, {DRUG_DAY} AS event_date, drug_exposure_id AS event_id
-        FROM drug_exposure
-        WHERE drug_concept_id IN (SELECT concept_id FROM set_exposure) AND {DRUG_DAY} {IN_STUDY}""",
+    "exposures": f"SELECT person_id, concept_id, day AS event_date, event_id FROM drug_days SEMI JOIN set_exposure USING (concept_id) WHERE day {IN_STUDY}",
     "first_use": """
-        SELECT person_id, event_date AS exposure_date, event_id AS exposure_id, concept_id AS exposure_concept_id FROM (
-            SELECT *, ROW_NUMBER() OVER (PARTITION BY person_id ORDER BY event_date, event_id, concept_id) AS rn
-            FROM exposures)
-        WHERE rn = 1""",
+        SELECT person_id, MIN(event_date) AS exposure_date,
+               arg_min(concept_id, (event_date, event_id, concept_id)) AS exposure_concept_id
+        FROM exposures GROUP BY person_id""",
     "user_candidates": """
-        SELECT b.person_id, f.exposure_date AS exposure_index_date, f.exposure_concept_id,
-               CAST(date_diff('day', b.obesity_index_date, f.exposure_date) AS INTEGER) AS days_from_index
-        FROM base b JOIN first_use f ON f.person_id = b.person_id
-        WHERE date_diff('day', b.obesity_index_date, f.exposure_date) BETWEEN 0 AND 730
-          AND EXISTS (SELECT 1 FROM observation_period o WHERE o.person_id = b.person_id
-                      AND f.exposure_date BETWEEN o.observation_period_start_date AND o.observation_period_end_date)""",
+        SELECT person_id, exposure_date AS exposure_index_date, exposure_concept_id,
+               (exposure_date - obesity_index_date)::INTEGER AS days_from_index
+        FROM base JOIN first_use f USING (person_id)
+        WHERE exposure_date - obesity_index_date BETWEEN 0 AND 730 AND EXISTS (
+            FROM observation_period o WHERE o.person_id = base.person_id
+            AND f.exposure_date >= o.observation_period_start_date AND f.exposure_date <= o.observation_period_end_date)""",
     "arms": f"""
         SELECT b.*, u.exposure_index_date, u.exposure_concept_id, u.days_from_index,
                {_rounded_age('b.birth_date', 'u.exposure_index_date')} AS age_at_exposure_index,
@@ -187,18 +180,16 @@ STEPS: dict[str, str] = {
         SELECT c.*, f.exposure_index_date, f.exposure_drug, CASE WHEN f.person_id IS NULL THEN 0 ELSE 1 END AS user_flag
         FROM w_cohort c LEFT JOIN w_first f ON f.person_id = c.person_id""",
     # Wide drug table.
-    "dated_use": f"SELECT person_id, drug_concept_id AS concept_id, {DRUG_DAY} AS day FROM drug_exposure WHERE {DRUG_DAY} {IN_STUDY}",
+    "dated_use": f"SELECT person_id, concept_id, day FROM drug_days WHERE day {IN_STUDY}",
     "universe": "SELECT DISTINCT person_id FROM dated_use",
-    **{
-        f"use_{d}": f"SELECT person_id, MIN(day) AS first_date FROM dated_use WHERE concept_id IN (SELECT concept_id FROM set_{d}) GROUP BY person_id"
-        for d in ("alpha", "beta", "gamma")
-    },
-    "wide": "SELECT u.person_id, " + ", ".join(
-        f"CASE WHEN {d}.person_id IS NULL THEN 0 ELSE 1 END AS {d}_used, {d}.first_date AS {d}_first_date"
+    "drug_days_by_set": " UNION ALL ".join(
+        f"SELECT '{d}' AS drug, person_id, day FROM dated_use SEMI JOIN set_{d} USING (concept_id)"
         for d in ("alpha", "beta", "gamma")
-    ) + ", 0 AS delta_used, CAST(NULL AS DATE) AS delta_first_date FROM universe u " + " ".join(
-        f"LEFT JOIN use_{d} AS {d} ON {d}.person_id = u.person_id" for d in ("alpha", "beta", "gamma")
     ),
+    "wide": "SELECT person_id, " + ", ".join(
+        f"(COUNT(day) FILTER (WHERE drug = '{d}') > 0)::INTEGER AS {d}_used, MIN(day) FILTER (WHERE drug = '{d}') AS {d}_first_date"
+        for d in ("alpha", "beta", "gamma", "delta")
+    ) + " FROM universe LEFT JOIN drug_days_by_set USING (person_id) GROUP BY person_id",
     # Covariates of the evidence arms.
     "indexed": """
         SELECT *, CASE WHEN user_flag = 1 THEN exposure_index_date ELSE obesity_index_date END AS index_date FROM arms""",
@@ -399,12 +390,7 @@ CHECKS: dict[str, str] = {
     "banded_first": "SELECT person_id, first_banded FROM first_banded",
     "index_candidates": "SELECT person_id, index_date, index_source, source_rank FROM candidates",
     "index_choice": "SELECT person_id, index_date, index_source FROM chosen",
-    "index_flags": """
-        SELECT i.person_id, i.index_date, i.index_source,
-               CASE WHEN EXISTS (SELECT 1 FROM first_dx d WHERE d.person_id = i.person_id AND d.first_date = i.index_date) THEN 1 ELSE 0 END AS obesity_dx_flag,
-               CASE WHEN EXISTS (SELECT 1 FROM first_high d WHERE d.person_id = i.person_id AND d.first_high = i.index_date) THEN 1 ELSE 0 END AS bmi_ge_30_flag,
-               CASE WHEN EXISTS (SELECT 1 FROM first_banded d WHERE d.person_id = i.person_id AND d.first_banded = i.index_date) THEN 1 ELSE 0 END AS bmi_ge_27_plus_comorb_flag
-        FROM chosen i""",
+    "index_flags": "SELECT * FROM flagged",
     "index_capped": "SELECT person_id, index_date, index_source FROM chosen ORDER BY person_id LIMIT 100",
     "birth_date": "SELECT person_id, birth_date, gender_concept_id, race_concept_id, ethnicity_concept_id FROM core",
     "prior_visit": "SELECT person_id, index_date FROM chosen WHERE person_id IN (SELECT person_id FROM seen_before)",
