@@ -150,17 +150,19 @@ def run_study(tables: ClinicalTables, study: Study) -> StudyResult:
     """
     sets = resolve_sets(tables, study)
     members = stage(study_cohort(tables, sets, study))
-    arms = stage(study_arms(tables, sets, study, members))
-    eligible = eligible_arms(tables, study, arms)
-    features = stage(study_covariates(tables, study, eligible))
+    theirs = tables.of_members(members)
+    arms = stage(study_arms(theirs, sets, study, members))
+    eligible = eligible_arms(theirs, study, arms)
+    features = stage(study_covariates(theirs, study, eligible))
     scored, used = score_arms(features, study)
     caliper = matching.caliper_width(scored, study.caliper_multiplier)
     pairs = stage(matching.match_pairs(scored, caliper))
     matched = stage(matching.matched_people(scored, pairs))
-    cox = survival.cox_model(study_survival(tables, study, matched)) if study.outcomes else None
+    outcomes = study_survival(tables.of_members(matched), study, matched) if study.outcomes else None
     return StudyResult(
         members, arms, eligible, features, scored, pairs, matched,
-        balance.standardized_differences(matched, used).orderBy(F.desc("smd"), "feature"), cox, used,
+        balance.standardized_differences(matched, used).orderBy(F.desc("smd"), "feature"),
+        survival.cox_model(outcomes) if outcomes is not None else None, used,
     )
 
 

@@ -10,6 +10,9 @@ from ..functions.columns import within
 from .csv_tables import discover_tables, read_csv_table, resolve_path
 from .schemas import TABLE_TYPES
 
+# Ids of this many people make a broadcast of well under 100 MB.
+MEMBER_ROWS = 2_000_000
+
 Ids = Sequence[int] | DataFrame | None
 
 
@@ -67,6 +70,25 @@ class ClinicalTables:
             self._frames[name] = source if isinstance(source, DataFrame) else source()
         return self._frames[name]
 
+    def of_members(self, members: DataFrame, max_rows: int = MEMBER_ROWS) -> ClinicalTables:
+        """The same tables with the rows of ``members`` only, when these are few enough to broadcast.
+
+        Counted first, so ``members`` should be staged. Dropping other people's rows in the scan stage
+        keeps them out of every shuffle. With more members the tables stay whole, which changes no
+        result, since each step joins its members anyway.
+        """
+        ids = members.select("person_id")
+        if ids.count() > max_rows:
+            return self
+
+        def restricted(name: str) -> DataFrame:
+            df = self[name]
+            if "person_id" not in df.columns:
+                return df
+            return df.join(F.broadcast(ids), "person_id", "left_semi").select(*df.columns)
+
+        return ClinicalTables(self.spark, {name: (lambda name=name: restricted(name)) for name in self._sources})
+
     def create_view(self, name: str, view: str | None = None) -> None:
         self[name].createOrReplaceTempView(view or name)
 

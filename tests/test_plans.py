@@ -121,6 +121,18 @@ def test_shuffle_plans_have_no_pairwise_join(tables, sets, shuffle_joins):
     assert_scalable(steps.study_covariates(tables, STUDY, arms))
 
 
+def test_other_people_are_dropped_before_the_shuffle(tables, sets, monkeypatch):
+    members = stage(steps.study_cohort(tables, sets, STUDY))
+    arms = stage(covariates.with_index_date(steps.study_arms(tables, sets, STUDY, members)))
+    theirs, whole = tables.of_members(members), tables.of_members(members, max_rows=1)
+    assert whole is tables
+    assert theirs["measurement"].count() < tables["measurement"].count()
+    assert theirs["concept"].count() == tables["concept"].count()
+    few, all_rows = (steps.study_covariates(t, STUDY, arms) for t in (theirs, whole))
+    assert "LeftSemi, BuildRight" in plan_of(few)
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, all_rows.collect()))
+
+
 def test_matching_is_windowed_by_bucket(frame):
     rows = [(i, i % 2, float(i % 97)) for i in range(500)]
     pairs = matching.match_pairs(frame(rows, "person_id long, treatment int, logit_ps double"), 1.0, rows_per_bucket=50)

@@ -1,11 +1,13 @@
 """Every registered query against its SQL on the smallest test tables."""
 
+import os
+
 import pytest
 
 from compare import duckdb_connection, rows_of
 from study_queries import oracles, registry
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = f"/root/testdata/sf{os.environ.get('TEST_SF', '0.001')}"
 
 
 @pytest.fixture(scope="module")
