@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..scale import stage
+from ..scale import local_frame, stage
 
 TREATMENT = "treatment"
 
@@ -19,6 +20,9 @@ CLIP_LOW, CLIP_HIGH = 0.001, 0.999
 # The sketch brackets each median within this share of the ranks; see ``medians``.
 SKETCH_ACCURACY = 10_000
 BRACKET = 5 / SKETCH_ACCURACY
+GRID = 500
+WINDOW_ROWS = 1_000_000
+NARROWING_ROUNDS = 8
 
 
 def combine_arms(users: DataFrame, non_users: DataFrame) -> DataFrame:
@@ -49,6 +53,26 @@ def numeric_text(labels: DataFrame) -> list[str]:
     return [r.feature for r in unreadable.filter("n = 0").collect()]
 
 
+def _positions(labels: DataFrame) -> DataFrame:
+    """``code``: position from 0 of each label among its feature's sorted labels.
+
+    Beyond ``WINDOW_ROWS`` labels are first cut into ranges, staged with their range number. Each range
+    is ranked on its own and moved up by the labels in the ranges before it.
+    """
+    by_feature = Window.partitionBy("feature")
+    if labels.count() <= WINDOW_ROWS:
+        return labels.withColumn("code", F.row_number().over(by_feature.orderBy("label")) - 1)
+    ranges = stage(labels.repartitionByRange("feature", "label").withColumn("part", F.spark_partition_id()))
+    before = by_feature.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.groupBy("feature", "part").agg(F.count(F.lit(1)).alias("rows")).select(
+        "feature", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset")
+    )
+    within = F.row_number().over(Window.partitionBy("feature", "part").orderBy("label")) - 1
+    return ranges.withColumn("position", within).join(offsets, ["feature", "part"]).select(
+        "feature", "label", (F.col("position") + F.col("offset")).alias("code")
+    )
+
+
 def encode_labels(df: DataFrame, columns: Sequence[str], labels: DataFrame | None = None) -> DataFrame:
     """Text replaced by its position, from 0, in the sorted distinct values; null stays null.
 
@@ -58,8 +82,7 @@ def encode_labels(df: DataFrame, columns: Sequence[str], labels: DataFrame | Non
     if not columns:
         return df
     labels = distinct_labels(df, columns) if labels is None else labels
-    position = F.row_number().over(Window.partitionBy("feature").orderBy("label")) - 1
-    ranked = labels.filter(F.col("feature").isin(list(columns))).withColumn("code", position)
+    ranked = _positions(labels.filter(F.col("feature").isin(list(columns))))
     out = df
     for c in columns:
         codes = ranked.filter(F.col("feature") == c).select(F.col("label").alias(c), F.col("code").cast("double"))
@@ -81,11 +104,69 @@ def to_numeric(df: DataFrame, features: Sequence[str], numeric: Sequence[str] |
     return df.withColumns({f: F.col(f).try_cast("double") for f in features})
 
 
-def _bracketed_medians(long: DataFrame, brackets: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Bracket:
+    """Values between which a feature's middle ranks lie; ``inside`` bounds the rows strictly between."""
+
+    feature: str
+    n: int
+    low: float
+    high: float
+    inside: float
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        """The one or two middle ranks, counted from 1."""
+        return (self.n + 1) // 2, self.n // 2 + 1
+
+
+def _bracket_frame(long: DataFrame, brackets: Sequence[Bracket]) -> DataFrame:
+    rows = {name: [getattr(b, name) for b in brackets] for name in ("feature", "n", "low", "high")}
+    kinds = {"feature": pa.string(), "n": pa.int64(), "low": pa.float64(), "high": pa.float64()}
+    # One row per feature, so the broadcast is as small as the feature list.
+    return long.join(F.broadcast(local_frame(long.sparkSession, rows, kinds)), "feature")
+
+
+def _first_brackets(long: DataFrame, full_range: bool) -> list[Bracket]:
+    """Brackets from one sketch per feature, with a margin above its rank error."""
+    edges = F.percentile_approx("value", [0.5 - BRACKET, 0.5 + BRACKET], SKETCH_ACCURACY)
+    if full_range:
+        edges = F.array(F.lit(float("-inf")), F.lit(float("inf")))
+    rows = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), edges.alias("q")).collect()
+    share = 1.0 if full_range else 2 * BRACKET + 2 / SKETCH_ACCURACY
+    return [Bracket(r.feature, r.n, r.q[0], r.q[1], r.n * share) for r in rows]
+
+
+def _narrower(long: DataFrame, wide: Sequence[Bracket]) -> list[Bracket]:
+    """Brackets from a second sketch, taken of the rows strictly inside the first."""
+    value = F.col("value")
+    within = (value > F.col("low")) & (value < F.col("high"))
+    grid = [i / GRID for i in range(GRID + 1)]
+    found = _bracket_frame(long, wide).groupBy("feature").agg(
+        F.count_if(value <= F.col("low")).alias("upto"),
+        F.count_if(within).alias("inside"),
+        F.percentile_approx(F.when(within, value), grid, SKETCH_ACCURACY).alias("grid"),
+    )
+    counted = {r.feature: r for r in found.collect()}
+    out = []
+    for b in wide:
+        r, (lower, upper) = counted[b.feature], b.ranks
+        low, high, inside = b.low, b.high, r.inside
+        if inside > WINDOW_ROWS:
+            # Two grid steps on either side cover the sketch's error many times over.
+            first = (lower - r.upto) * GRID // inside - 2
+            last = -(-(upper - r.upto) * GRID // inside) + 2
+            low = r.grid[first] if 0 < first <= GRID else low
+            high = r.grid[last] if 0 <= last < GRID else high
+            inside *= (last - first + 2) / GRID
+        out.append(Bracket(b.feature, b.n, low, high, inside))
+    return out
+
+
+def _bracketed_medians(long: DataFrame, brackets: Sequence[Bracket]) -> DataFrame:
     zone = F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), 1).otherwise(0)
     counted = (
-        # One row per feature, so the broadcast is as small as the feature list.
-        long.join(F.broadcast(brackets), "feature")
+        _bracket_frame(long, brackets)
         .withColumn("zone", zone)
         .withColumn("value", F.when(F.col("zone") == 0, F.col("value")))
         .groupBy("feature", "n", "zone", "value")
@@ -106,25 +187,21 @@ def _bracketed_medians(long: DataFrame, brackets: DataFrame) -> DataFrame:
 def medians(df: DataFrame, features: Sequence[str], full_range: bool = False) -> DataFrame:
     """Exact ``(feature, median)``, nulls and NaN skipped.
 
-    A quantile sketch brackets the middle rank with a margin above its error bound; only the values
-    in the bracket are then counted and ranked exactly, about a thousandth of the rows. With
-    ``full_range`` all distinct values are ranked.
+    A quantile sketch brackets the middle rank with a margin above its error bound, and is repeated
+    inside the bracket until at most ``WINDOW_ROWS`` rows can be left there. Only these values are
+    counted and ranked, so one task never ranks more. With ``full_range`` all values are.
     """
     long = (
         df.select(*[F.col(f).cast("double").alias(f) for f in features])
         .unpivot([], list(features), "feature", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    if full_range:
-        low, high = F.lit(float("-inf")), F.lit(float("inf"))
-        brackets = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).select(
-            "feature", "n", low.alias("low"), high.alias("high")
-        )
-    else:
-        edges = F.percentile_approx("value", [0.5 - BRACKET, 0.5 + BRACKET], SKETCH_ACCURACY)
-        brackets = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), edges.alias("q")).select(
-            "feature", "n", F.col("q")[0].alias("low"), F.col("q")[1].alias("high")
-        )
+    brackets = _first_brackets(long, full_range)
+    for _ in range(NARROWING_ROUNDS if not full_range else 0):
+        wide = [b for b in brackets if b.inside > WINDOW_ROWS]
+        if not wide:
+            break
+        brackets = [b for b in brackets if b.inside <= WINDOW_ROWS] + _narrower(long, wide)
     return _bracketed_medians(long, brackets)
 
 

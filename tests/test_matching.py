@@ -86,6 +86,23 @@ def test_medians_are_exact(frame):
         assert {r.feature: r["median"] for r in propensity.medians(df, ["a", "b", "c"], full).collect()} == want
 
 
+@pytest.mark.parametrize("limit", [5, 200])
+def test_brackets_narrow_until_few_rows_are_left(frame, monkeypatch, limit):
+    monkeypatch.setattr(propensity, "WINDOW_ROWS", limit)
+    calls = []
+    narrower = propensity._narrower
+    monkeypatch.setattr(propensity, "_narrower", lambda *a: calls.append(narrower(*a)) or calls[-1])
+    monkeypatch.setattr(propensity, "BRACKET", 0.1)
+    rng = np.random.default_rng(11)
+    smooth, tied = rng.normal(size=30_000), rng.normal(size=30_000)
+    tied[rng.random(30_000) < 0.4] = 0.001
+    steps = np.repeat([1.0, 2.0], 15_000)  # the median lies between two values
+    df = frame([tuple(map(float, r)) for r in zip(smooth, tied, steps)], "a double, b double, c double")
+    got = {r.feature: r["median"] for r in propensity.medians(df, ["a", "b", "c"]).collect()}
+    assert got == {"a": np.median(smooth), "b": np.median(tied), "c": 1.5}
+    assert calls and {b.feature: b.inside for b in calls[-1]}.get("a", 0) <= limit
+
+
 def test_a_missed_bracket_is_ranked_in_full(frame, monkeypatch):
     # A bracket that cannot hold the middle stands for a sketch outside its bound.
     monkeypatch.setattr(propensity, "BRACKET", -0.3)
@@ -124,6 +141,15 @@ def test_label_checks_read_the_rows_once(frame):
     assert sorted(((r.x, r.y) for r in codes), key=str) == sorted([(1.0, "1"), (0.0, "2"), (None, None)], key=str)
 
 
+def test_many_labels_are_ranked_by_range(frame, monkeypatch):
+    monkeypatch.setattr(propensity, "WINDOW_ROWS", 10)
+    words = [f"w{i * 7919 % 1000:04d}" for i in range(1000)]
+    df = frame([(i, w, w[-1]) for i, w in enumerate(words)], "person_id long, x string, y string")
+    got = {r.person_id: (r.x, r.y) for r in propensity.encode_labels(df, ["x", "y"]).collect()}
+    order = {w: float(i) for i, w in enumerate(sorted(set(words)))}
+    assert got == {i: (order[w], float(w[-1])) for i, w in enumerate(words)}
+
+
 def test_a_text_feature_without_values_is_dropped(frame):
     df = propensity.to_numeric(frame([(None, 1)], "x string, y int"), ["x", "y"])
     assert propensity.impute(df, ["x", "y"])[1] == ["y"]
