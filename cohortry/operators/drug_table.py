@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import within
 from ..sources.tables import ClinicalTables
 from .concepts import ConceptSets
 from .events import drug_events
@@ -15,7 +14,7 @@ from .events import drug_events
 
 def drug_universe(tables: ClinicalTables, start: str, end: str) -> DataFrame:
     """Persons with any exposure in the window."""
-    return drug_events(tables).filter(within("event_date", start, end)).select("person_id").distinct()
+    return drug_events(tables, start=start, end=end).select("person_id").distinct()
 
 
 def drug_table(
@@ -33,9 +32,7 @@ def drug_table(
     scanned once and grouped once: the sets are outer-joined by concept, so that people who took
     none of the drugs keep a row too.
     """
-    events = drug_events(tables).filter(within("event_date", start, end)).select(
-        "person_id", "concept_id", "event_date"
-    )
+    events = drug_events(tables, start=start, end=end).select("person_id", "concept_id", "event_date")
     if cohort is None:
         tagged = events.join(sets.frame(*drugs), "concept_id", "left")
     else:

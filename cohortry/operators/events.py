@@ -1,38 +1,48 @@
-"""Uniform event views: person_id, concept_id, event_date, event_id and, for labs, value."""
+"""Uniform event views: person_id, concept_id, event_date, event_id and, for labs, value.
+
+Each view takes an optional closed date range, and ``date_only`` to ignore the timestamp fallback.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import event_date
+from ..functions.columns import event_date, within
 from ..sources.tables import ClinicalTables
 
 
-def _events(df: DataFrame, concept: str, date: str, moment: str | None, event_id: str, *more) -> DataFrame:
-    when = event_date(date, moment) if moment in df.columns else event_date(date)
-    return df.select("person_id", F.col(concept).alias("concept_id"), when.alias("event_date"),
-                     F.col(event_id).alias("event_id"), *more)
+def _events(df: DataFrame, concept: str, date: str, moment: str, event_id: str, *more: str,
+            date_only: bool, start, end) -> DataFrame:
+    fallback = not date_only and moment in df.columns
+    ranged = start is not None or end is not None
+    if ranged and fallback:
+        # Implied by the range test below, but on a plain column, so that the scan can use it.
+        day = F.col(date).cast("date")
+        df = df.filter(within(day, start, end) | day.isNull())
+    when = event_date(date, moment) if fallback else event_date(date)
+    events = df.select("person_id", F.col(concept).alias("concept_id"), when.alias("event_date"),
+                       F.col(event_id).alias("event_id"), *more)
+    return events.filter(within("event_date", start, end)) if ranged else events
 
 
-def condition_events(tables: ClinicalTables, date_only: bool = False) -> DataFrame:
-    """Conditions; ``date_only`` ignores the timestamp fallback."""
+def condition_events(tables: ClinicalTables, date_only: bool = False, start=None, end=None) -> DataFrame:
     return _events(tables["condition_occurrence"], "condition_concept_id", "condition_start_date",
-                   None if date_only else "condition_start_datetime", "condition_occurrence_id")
+                   "condition_start_datetime", "condition_occurrence_id", date_only=date_only, start=start, end=end)
 
 
-def drug_events(tables: ClinicalTables, date_only: bool = False) -> DataFrame:
+def drug_events(tables: ClinicalTables, date_only: bool = False, start=None, end=None) -> DataFrame:
     return _events(tables["drug_exposure"], "drug_concept_id", "drug_exposure_start_date",
-                   None if date_only else "drug_exposure_start_datetime", "drug_exposure_id")
+                   "drug_exposure_start_datetime", "drug_exposure_id", date_only=date_only, start=start, end=end)
 
 
-def measurement_events(tables: ClinicalTables, date_only: bool = False) -> DataFrame:
-    return _events(tables["measurement"], "measurement_concept_id", "measurement_date",
-                   None if date_only else "measurement_datetime", "measurement_id", "value_as_number")
+def measurement_events(tables: ClinicalTables, date_only: bool = False, start=None, end=None) -> DataFrame:
+    return _events(tables["measurement"], "measurement_concept_id", "measurement_date", "measurement_datetime",
+                   "measurement_id", "value_as_number", date_only=date_only, start=start, end=end)
 
 
-def visit_events(tables: ClinicalTables, date_only: bool = False) -> DataFrame:
-    return _events(tables["visit_occurrence"], "visit_concept_id", "visit_start_date",
-                   None if date_only else "visit_start_datetime", "visit_occurrence_id")
+def visit_events(tables: ClinicalTables, date_only: bool = False, start=None, end=None) -> DataFrame:
+    return _events(tables["visit_occurrence"], "visit_concept_id", "visit_start_date", "visit_start_datetime",
+                   "visit_occurrence_id", date_only=date_only, start=start, end=end)
 
 
 def observation_spans(tables: ClinicalTables) -> DataFrame:

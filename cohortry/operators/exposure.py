@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import age_rounded, within
+from ..functions.columns import age_rounded
 from ..scale import local_frame
 from ..sources.tables import ClinicalTables
 from .cohort import cap_persons, covered
@@ -35,8 +35,8 @@ def typed_cohort(cohort: DataFrame, max_persons: int | None = None) -> DataFrame
 
 def exposure_events(tables: ClinicalTables, sets: ConceptSets, start, end, *names: str) -> DataFrame:
     """Dated exposures to the sets inside the closed date range."""
-    events = sets.restrict(drug_events(tables), *(names or (EXPOSURE_SET,)))
-    return events.filter(F.col("event_date").isNotNull() & within("event_date", start, end))
+    events = sets.restrict(drug_events(tables, start=start, end=end), *(names or (EXPOSURE_SET,)))
+    return events.filter(F.col("event_date").isNotNull())
 
 
 def first_exposure(events: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def labelled_exposures(tables: ClinicalTables, sets: ConceptSets, drugs: Sequenc
     A concept of several sets takes the last of them in ``drugs``; among a day's records the one
     with the lowest id counts.
     """
-    events = drug_events(tables, date_only=True).filter(within("event_date", start, end))
+    events = drug_events(tables, date_only=True, start=start, end=end)
     tagged = sets.tag(events, *drugs).join(drug_order(tables, drugs), "set_name")
     chosen = F.min_by("set_name", F.struct(F.col("event_id"), -F.col("position")))
     return tagged.groupBy("person_id", "event_date").agg(chosen.alias("exposure_drug"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import age_truncated, birth_date, safe_double, within
+from ..functions.columns import age_truncated, birth_date, safe_double
 from ..sources.tables import ClinicalTables
 from .concepts import ConceptSets
 from .cohort import CONDITION_SET, MEASUREMENT_SET
@@ -25,11 +25,11 @@ def windowed_evidence(
 
     Only the date column counts; a record with nothing but a timestamp is left out.
     """
-    diagnoses = sets.restrict(condition_events(tables, date_only=True), CONDITION_SET)
-    readings = sets.restrict(measurement_events(tables, date_only=True), MEASUREMENT_SET)
+    diagnoses = sets.restrict(condition_events(tables, True, start, end), CONDITION_SET)
+    readings = sets.restrict(measurement_events(tables, True, start, end), MEASUREMENT_SET)
 
     def shape(df: DataFrame, label: Column, rank: int, value: Column) -> DataFrame:
-        return df.filter(within("event_date", start, end)).select(
+        return df.select(
             "person_id",
             F.col("event_date").alias("obesity_date"),
             F.col("event_id").alias("record_id"),

@@ -95,6 +95,14 @@ def test_concept_filters_and_columns_reach_the_scan(tables, sets):
     assert "value_as_number" not in scan and "measurement_id" not in scan
 
 
+def test_date_ranges_reach_the_scan(tables):
+    for date_only in (False, True):
+        kept = events.drug_events(tables, date_only, STUDY.study_start, STUDY.study_end)
+        scan = next(line for line in plan_of(kept).splitlines() if "FileScan" in line)
+        pushed = scan.split("PushedFilters: ")[1]
+        assert "GreaterThanOrEqual(drug_exposure_start_date" in pushed, scan
+
+
 @pytest.mark.parametrize("study", [STUDY, WINDOWED_STUDY], ids=lambda s: s.rules)
 def test_results_do_not_depend_on_broadcasts(tables, study, spark):
     sets = steps.resolve_sets(tables, study)
