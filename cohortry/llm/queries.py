@@ -5,24 +5,39 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import packing, sharding, simhash, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_digest(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"))
+
+
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.pages_of(warc.read_archives(warc.write_archives(table(spark, folder, "pages")), payloads=False))
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = token_files.write_token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 0)
     return token_files.read_token_files(files, with_ids=False)
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op5_sharding": op5_sharding,
+    "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
 }
 SQL: dict[str, str] = {}

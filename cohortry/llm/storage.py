@@ -30,7 +30,7 @@ def create(uri: str):
     """An output stream; missing folders are made."""
     system, path = opened(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def attempt_name(folder: str, suffix: str, roll: int = 0) -> str:
