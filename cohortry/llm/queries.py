@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, sharding, simhash, token_files, warc
+from . import packing, quality, sharding, simhash, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judged(docs, quality.train_lines(docs, table(spark, folder, "labels")))
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.pages_of(warc.read_archives(warc.write_archives(table(spark, folder, "pages")), payloads=False))
 
@@ -37,6 +42,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op5_sharding": op5_sharding,
+    "op7_quality": op7_quality,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
 }

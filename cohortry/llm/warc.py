@@ -28,6 +28,8 @@ DATE = "2026-01-01T00:00:00Z"
 #: A file is closed and the next begun beyond this size.
 ROLL_BYTES = 64 << 20
 CHUNK = 1 << 18
+#: A record without one of these isn't valid.
+REQUIRED = {"warc-type", "warc-record-id", "warc-date", "content-length"}
 
 
 def base32_sha1(data: bytes) -> str:
@@ -166,8 +168,10 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes, int]:
         if not colon:
             raise Damaged("header line without colon")
         headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
-    if not re.fullmatch(r"[0-9]{1,15}", headers.get("content-length", "")):
-        raise Damaged("no content length")
+    if missing := REQUIRED - headers.keys():
+        raise Damaged(f"no {min(missing)}")
+    if not re.fullmatch(r"[0-9]{1,15}", headers["content-length"]):
+        raise Damaged("content length is no number")
     begin, length = head_end + 4, int(headers["content-length"])
     block = data[begin : begin + length]
     if len(block) < length or data[begin + length : begin + length + 4] != b"\r\n\r\n":

@@ -53,7 +53,7 @@ def test_salvage(spark, compress):
     records = [warc.member(warc.page_record(i, "u", bytes(chance.randrange(256) for _ in range(400)) + b"WARC/1.0 \x1f\x8b\x08", None), compress) for i in range(40)]
     starts = [sum(map(len, records[:i])) for i in range(41)]
     data = bytearray(b"".join(records))
-    data[starts[3] + 9] ^= 255
+    data[starts[3] + 40] ^= 255
     data[starts[10] + len(records[10]) // 2] ^= 255
     data[starts[11] : starts[12]] = b"x" * len(records[11])
     data = data[: starts[39] + 50]
