@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, sharding, simhash, token_files, warc
+from . import packing, quality, secrets_scan, sharding, simhash, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packing_digest(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets_scan.scanned(table(spark, folder, "documents"))
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
@@ -41,6 +45,7 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_secrets": op3_secrets,
     "op5_sharding": op5_sharding,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
