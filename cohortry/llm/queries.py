@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, secrets_scan, sharding, simhash, token_files, warc
+from . import decontaminate, packing, quality, secrets_scan, sharding, simhash, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets_scan.scanned(table(spark, folder, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
+    "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
