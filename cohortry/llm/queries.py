@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, secrets_scan, sharding, simhash, token_files, warc
+from . import decontaminate, packing, quality, secrets_scan, sharding, simhash, suffix_dedup, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, folder, "documents"), with_text=False)
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.judged(docs, quality.train_lines(docs, table(spark, folder, "labels")))
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
     "op5_sharding": op5_sharding,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,

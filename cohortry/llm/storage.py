@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
@@ -53,3 +54,18 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
 def texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Only the id and the text, null texts as empty ones: other columns, whatever their names, can't interfere."""
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go as soon as the query that made them has ended; what is needed later is staged."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
