@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality, secrets_scan, sharding, simhash, suffix_dedup, token_files, warc
+from . import decontaminate, language_model, packing, quality, secrets_scan, sharding, simhash, suffix_dedup, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(files, with_ids=False)
 
 
+def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_model.scored(docs, language_model.trained(docs))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -60,5 +65,6 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
+    "op10_language_model": op10_language_model,
 }
 SQL: dict[str, str] = {}
