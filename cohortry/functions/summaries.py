@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .columns import within
+from .columns import packed_order, within
 
 
 def filter_date_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
@@ -12,9 +14,23 @@ def filter_date_range(df: DataFrame, column: str, start=None, end=None) -> DataF
     return df.filter(within(F.col(column).cast("date"), start, end))
 
 
-def last_known(value: str, *order: str) -> Column:
-    """Aggregate: the non-null value that comes last in the given order."""
-    return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
+def last_known(value: str, day: str, record: str) -> Column:
+    """Aggregate: the non-null value of the last day, on that day of the highest record id.
+
+    With a fixed-width value Spark groups by hash, without sorting its input.
+    """
+    return F.max_by(value, F.when(F.col(value).isNotNull(), packed_order(day, record)))
+
+
+_WHOLE_NUMBERS = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _order(df: DataFrame, order_by: list[str]) -> Column:
+    """The order as one fixed-width number where a day and a record id make it, else as a struct."""
+    kinds = dict(df.dtypes)
+    if len(order_by) == 2 and kinds[order_by[0]] == "date" and kinds[order_by[1]] in _WHOLE_NUMBERS:
+        return F.coalesce(packed_order(*order_by), F.lit(Decimal(-(10**37))).cast("decimal(38,0)"))
+    return F.struct(*order_by)
 
 
 def aggregate_by_person(
@@ -32,7 +48,7 @@ def aggregate_by_person(
         if not order_by:
             raise ValueError("order_by is needed to pick a first value")
         aggregates = {
-            c: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order_by)))
+            c: F.min_by(c, F.when(F.col(c).isNotNull(), _order(df, order_by)))
             for c in df.columns
             if c != person
         }

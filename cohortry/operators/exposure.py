@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import age_rounded
+from ..functions.columns import ORDER, age_rounded, packed_id, packed_order
 from ..scale import local_frame
 from ..sources.tables import ClinicalTables
 from .cohort import cap_persons, covered
@@ -33,8 +33,8 @@ def typed_cohort(cohort: DataFrame, max_persons: int | None = None) -> DataFrame
     return cap_persons(base, max_persons, "person_id")
 
 
-def exposure_events(tables: ClinicalTables, sets: ConceptSets, start, end, *names: str) -> DataFrame:
-    """Dated exposures to the sets inside the closed date range."""
+def exposure_events(tables: ClinicalTables, sets: ConceptSets, start=None, end=None, *names: str) -> DataFrame:
+    """Dated exposures to the sets inside the closed date range, or at any time."""
     events = sets.restrict(drug_events(tables, start=start, end=end), *(names or (EXPOSURE_SET,)))
     return events.filter(F.col("event_date").isNotNull())
 
@@ -42,15 +42,20 @@ def exposure_events(tables: ClinicalTables, sets: ConceptSets, start, end, *name
 def first_exposure(events: DataFrame) -> DataFrame:
     """First exposure per person with its concept; the lower id wins on equal dates.
 
-    Taken over everyone before the cohort is joined: each map task sends one row per person.
+    Taken over everyone before the cohort is joined: each map task sends one row per person, grouped
+    by hash, since day and record are packed into one number.
     """
-    first = F.min(F.struct("event_date", "event_id", "concept_id")).alias("first")
-    return events.groupBy("person_id").agg(first).select(
-        "person_id",
-        F.col("first.event_date").alias("exposure_date"),
-        F.col("first.event_id").alias("exposure_id"),
-        F.col("first.concept_id").alias("exposure_concept_id"),
-    )
+    order = packed_order("event_date", "event_id")
+    return events.groupBy("person_id").agg(
+        F.min("event_date").alias("exposure_date"),
+        F.min(order).alias("first"),
+        F.min_by("concept_id", order).alias("exposure_concept_id"),
+    ).select("person_id", "exposure_date", packed_id("first").alias("exposure_id"), "exposure_concept_id")
+
+
+def ever_exposed(tables: ClinicalTables, sets: ConceptSets, *names: str) -> DataFrame:
+    """Persons with any exposure to the sets, dated or not, at any time."""
+    return sets.restrict(drug_events(tables), *(names or (EXPOSURE_SET,))).select("person_id").distinct()
 
 
 def exposure_candidates(
@@ -78,12 +83,12 @@ def label_arms(
     spans: DataFrame,
     min_days: int = 0,
     max_days: int = 730,
-    exclude_ever_exposed: bool = False,
+    ever: DataFrame | None = None,
 ) -> DataFrame:
     """The whole cohort with ``user_flag``; exposure columns are null for non-users.
 
-    Non-users include people exposed too early, too late or outside observation, unless
-    ``exclude_ever_exposed`` asks for a clean comparator. The cohort is read once for both arms.
+    Non-users include people exposed too early, too late or outside observation. With ``ever``, the
+    persons exposed at any time, the comparator is clean of them. The cohort is read once for both arms.
     """
     days = F.datediff("exposure_date", "obesity_index_date")
     joined = cohort.join(first, "person_id", "left").withColumn("days_from_index", days)
@@ -99,7 +104,10 @@ def label_arms(
         .agg(F.coalesce(F.max("hit"), F.lit(0)).alias("user_flag"))
     )
     used = F.col("user_flag") == 1
-    arms = found.filter(used | F.col("exposure_date").isNull()) if exclude_ever_exposed else found
+    arms = found
+    if ever is not None:
+        marked = ever.select("person_id", F.lit(True).alias("ever"))
+        arms = found.join(marked, "person_id", "left").filter(used | F.col("ever").isNull())
     return arms.select(
         *cohort.columns,
         F.when(used, F.col("exposure_date")).alias("exposure_index_date"),
@@ -120,10 +128,10 @@ def users(cohort: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def non_users(cohort: DataFrame, candidates: DataFrame, first: DataFrame | None = None) -> DataFrame:
-    """Unexposed arm; with ``first`` given, people ever exposed are left out as well."""
+def non_users(cohort: DataFrame, candidates: DataFrame, ever: DataFrame | None = None) -> DataFrame:
+    """Unexposed arm; with ``ever`` given, people exposed at any time are left out as well."""
     rest = cohort.join(candidates, "person_id", "left_anti")
-    return rest if first is None else rest.join(first, "person_id", "left_anti")
+    return rest if ever is None else rest.join(ever, "person_id", "left_anti")
 
 
 def arm_counts(arms: DataFrame) -> DataFrame:
@@ -145,26 +153,31 @@ def labelled_exposures(tables: ClinicalTables, sets: ConceptSets, drugs: Sequenc
     with the lowest id counts.
     """
     events = drug_events(tables, date_only=True, start=start, end=end)
-    tagged = sets.tag(events, *drugs).join(drug_order(tables, drugs), "set_name")
-    chosen = F.min_by("set_name", F.struct(F.col("event_id"), -F.col("position")))
-    return tagged.groupBy("person_id", "event_date").agg(chosen.alias("exposure_drug"))
+    names = drug_order(tables, drugs)
+    tagged = sets.tag(events, *drugs).join(names, "set_name")
+    # The label's number is chosen, and turned into the label after the grouping.
+    chosen = F.min_by("position", F.col("event_id").cast(ORDER) * 10_000 - F.col("position"))
+    return tagged.groupBy("person_id", "event_date").agg(chosen.alias("position")).join(names, "position").select(
+        "person_id", "event_date", F.col("set_name").alias("exposure_drug")
+    )
 
 
 def windowed_arms(cohort: DataFrame, labelled: DataFrame) -> DataFrame:
     """The whole cohort with ``user_flag``, first exposure on or after entry, and its drug."""
-    exposed = labelled.withColumnRenamed("person_id", "exposed_person")
-    after = (cohort.person_id == exposed.exposed_person) & (exposed.event_date >= cohort.obesity_entry_date)
-    dated = F.when(F.col("event_date").isNotNull(), F.struct("event_date", "exposure_drug"))
-    return (
-        cohort.join(exposed, after, "left")
+    days = labelled.select(F.col("person_id").alias("exposed_person"), "event_date")
+    after = (cohort.person_id == days.exposed_person) & (days.event_date >= cohort.obesity_entry_date)
+    dated = (
+        cohort.join(days, after, "left")
         .groupBy(*cohort.columns)
-        .agg(F.min(dated).alias("first"))
-        .select(
-            *cohort.columns,
-            F.col("first.event_date").alias("exposure_index_date"),
-            F.col("first.exposure_drug").alias("exposure_drug"),
-            F.col("first").isNotNull().cast("int").alias("user_flag"),
-        )
+        .agg(F.min("event_date").alias("exposure_index_date"))
+    )
+    # One label per person and day, so the date finds it.
+    drugs = labelled.withColumnRenamed("event_date", "exposure_index_date")
+    return dated.join(drugs, ["person_id", "exposure_index_date"], "left").select(
+        *cohort.columns,
+        "exposure_index_date",
+        "exposure_drug",
+        F.col("exposure_index_date").isNotNull().cast("int").alias("user_flag"),
     )
 
 

@@ -22,7 +22,6 @@ SKETCH_ACCURACY = 10_000
 BRACKET = 5 / SKETCH_ACCURACY
 GRID = 500
 WINDOW_ROWS = 1_000_000
-NARROWING_ROUNDS = 8
 
 
 def combine_arms(users: DataFrame, non_users: DataFrame) -> DataFrame:
@@ -56,12 +55,10 @@ def numeric_text(labels: DataFrame) -> list[str]:
 def _positions(labels: DataFrame) -> DataFrame:
     """``code``: position from 0 of each label among its feature's sorted labels.
 
-    Beyond ``WINDOW_ROWS`` labels are first cut into ranges, staged with their range number. Each range
-    is ranked on its own and moved up by the labels in the ranges before it.
+    Labels are cut into ranges, staged with their range number. Each range is ranked on its own and
+    moved up by the labels in the ranges before it.
     """
     by_feature = Window.partitionBy("feature")
-    if labels.count() <= WINDOW_ROWS:
-        return labels.withColumn("code", F.row_number().over(by_feature.orderBy("label")) - 1)
     ranges = stage(labels.repartitionByRange("feature", "label").withColumn("part", F.spark_partition_id()))
     before = by_feature.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.groupBy("feature", "part").agg(F.count(F.lit(1)).alias("rows")).select(
@@ -106,13 +103,12 @@ def to_numeric(df: DataFrame, features: Sequence[str], numeric: Sequence[str] |
 
 @dataclass(frozen=True)
 class Bracket:
-    """Values between which a feature's middle ranks lie; ``inside`` bounds the rows strictly between."""
+    """Values between which, both included, a feature's middle ranks should lie."""
 
     feature: str
     n: int
     low: float
     high: float
-    inside: float
 
     @property
     def ranks(self) -> tuple[int, int]:
@@ -127,40 +123,45 @@ def _bracket_frame(long: DataFrame, brackets: Sequence[Bracket]) -> DataFrame:
     return long.join(F.broadcast(local_frame(long.sparkSession, rows, kinds)), "feature")
 
 
-def _first_brackets(long: DataFrame, full_range: bool) -> list[Bracket]:
+def _first_brackets(long: DataFrame) -> list[Bracket]:
     """Brackets from one sketch per feature, with a margin above its rank error."""
     edges = F.percentile_approx("value", [0.5 - BRACKET, 0.5 + BRACKET], SKETCH_ACCURACY)
-    if full_range:
-        edges = F.array(F.lit(float("-inf")), F.lit(float("inf")))
     rows = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), edges.alias("q")).collect()
-    share = 1.0 if full_range else 2 * BRACKET + 2 / SKETCH_ACCURACY
-    return [Bracket(r.feature, r.n, r.q[0], r.q[1], r.n * share) for r in rows]
+    return [Bracket(r.feature, r.n, r.q[0], r.q[1]) for r in rows]
 
 
-def _narrower(long: DataFrame, wide: Sequence[Bracket]) -> list[Bracket]:
-    """Brackets from a second sketch, taken of the rows strictly inside the first."""
+def _checked(long: DataFrame, brackets: Sequence[Bracket]) -> tuple[list[Bracket], list[Bracket]]:
+    """Brackets that are ready to be ranked, and better ones for the others.
+
+    Rows below and inside are counted exactly. A bracket that misses a middle rank is opened on that side,
+    one that holds too many rows of several values is replaced from a sketch of the rows strictly inside.
+    """
     value = F.col("value")
     within = (value > F.col("low")) & (value < F.col("high"))
     grid = [i / GRID for i in range(GRID + 1)]
-    found = _bracket_frame(long, wide).groupBy("feature").agg(
-        F.count_if(value <= F.col("low")).alias("upto"),
+    counts = _bracket_frame(long, brackets).groupBy("feature").agg(
+        F.count_if(value < F.col("low")).alias("below"),
+        F.count_if(value <= F.col("high")).alias("upto"),
+        F.count_if(value <= F.col("low")).alias("at_low"),
         F.count_if(within).alias("inside"),
         F.percentile_approx(F.when(within, value), grid, SKETCH_ACCURACY).alias("grid"),
     )
-    counted = {r.feature: r for r in found.collect()}
-    out = []
-    for b in wide:
+    counted = {r.feature: r for r in counts.collect()}
+    ready, better = [], []
+    for b in brackets:
         r, (lower, upper) = counted[b.feature], b.ranks
-        low, high, inside = b.low, b.high, r.inside
-        if inside > WINDOW_ROWS:
+        if lower <= r.below or upper > r.upto:
+            better.append(Bracket(b.feature, b.n, float("-inf") if lower <= r.below else b.low, float("inf") if upper > r.upto else b.high))
+        elif r.inside <= WINDOW_ROWS:
+            ready.append(b)
+        else:
             # Two grid steps on either side cover the sketch's error many times over.
-            first = (lower - r.upto) * GRID // inside - 2
-            last = -(-(upper - r.upto) * GRID // inside) + 2
-            low = r.grid[first] if 0 < first <= GRID else low
-            high = r.grid[last] if 0 <= last < GRID else high
-            inside *= (last - first + 2) / GRID
-        out.append(Bracket(b.feature, b.n, low, high, inside))
-    return out
+            first = (lower - r.at_low) * GRID // r.inside - 2
+            last = -(-(upper - r.at_low) * GRID // r.inside) + 2
+            low = r.grid[min(first, GRID)] if first > 0 else b.low
+            high = r.grid[max(last, 0)] if last < GRID else b.high
+            better.append(Bracket(b.feature, b.n, low, high))
+    return ready, better
 
 
 def _bracketed_medians(long: DataFrame, brackets: Sequence[Bracket]) -> DataFrame:
@@ -184,38 +185,29 @@ def _bracketed_medians(long: DataFrame, brackets: Sequence[Bracket]) -> DataFram
     )
 
 
-def medians(df: DataFrame, features: Sequence[str], full_range: bool = False) -> DataFrame:
+def medians(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Exact ``(feature, median)``, nulls and NaN skipped.
 
-    A quantile sketch brackets the middle rank with a margin above its error bound, and is repeated
-    inside the bracket until at most ``WINDOW_ROWS`` rows can be left there. Only these values are
-    counted and ranked, so one task never ranks more. With ``full_range`` all values are.
+    A quantile sketch brackets the middle rank with a margin above its error bound. Exact counts then
+    tell whether a bracket holds its ranks and how many rows; it is opened or narrowed until it holds them and at most
+    ``WINDOW_ROWS`` rows lie strictly inside, which always ends, as every sketch leaves a fraction of the rows or a single
+    value. Only these values are ranked, so one task never ranks more.
     """
     long = (
         df.select(*[F.col(f).cast("double").alias(f) for f in features])
         .unpivot([], list(features), "feature", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    brackets = _first_brackets(long, full_range)
-    for _ in range(NARROWING_ROUNDS if not full_range else 0):
-        wide = [b for b in brackets if b.inside > WINDOW_ROWS]
-        if not wide:
-            break
-        brackets = [b for b in brackets if b.inside <= WINDOW_ROWS] + _narrower(long, wide)
-    return _bracketed_medians(long, brackets)
+    ready, open_ = [], _first_brackets(long)
+    while open_:
+        done, open_ = _checked(long, open_)
+        ready += done
+    return _bracketed_medians(long, ready)
 
 
 def median_values(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
-    """Medians as numbers, one per feature that has any value.
-
-    Should a sketch ever miss its bound, the middle rank falls outside the bracket and gives null;
-    those features are ranked again over their full range.
-    """
-    found = {r.feature: r["median"] for r in medians(df, features).collect()}
-    missed = [f for f, m in found.items() if m is None]
-    if missed:
-        found |= {r.feature: r["median"] for r in medians(df, missed, full_range=True).collect()}
-    return found
+    """Medians as numbers, one per feature that has any value."""
+    return {r.feature: r["median"] for r in medians(df, features).collect()}
 
 
 def impute(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:

@@ -33,13 +33,15 @@ def survival_data(
     study_end: str,
     max_years: int | None = None,
     competing_death: bool = False,
+    keep_uncovered: bool = False,
 ) -> DataFrame:
     """``person_id, treatment, [other columns], outcome, T, E`` for every person and outcome.
 
     The event is the first record of the outcome after ``index_date``. Follow-up ends with the
     covering observation period, death, the study, or ``max_years``, whichever is first. With
     ``competing_death`` a death that ends follow-up has E = 2. People whose follow-up ends before
-    their index date have no time at risk and are left out.
+    their index date have no time at risk and are left out, as are people whose index date no observation
+    period covers; ``keep_uncovered`` follows these to death or the end of the study.
     """
     sets = ConceptSets.of_lists(arms.sparkSession, outcomes)
     days = sets.tag(events, *outcomes).select(
@@ -50,7 +52,7 @@ def survival_data(
     index = F.col("index_date")
 
     covering = (F.col("person_id") == F.col("span_person")) & index.between(F.col("obs_start"), F.col("obs_end"))
-    observed = arms.join(spans, covering, "left").groupBy(*keep).agg(F.max("obs_end").alias("obs_end"))
+    observed = arms.join(spans, covering, "left" if keep_uncovered else "inner").groupBy(*keep).agg(F.max("obs_end").alias("obs_end"))
     with_death = observed.join(deaths, "person_id", "left")
 
     later = (F.col("person_id") == F.col("event_person")) & (F.col("event_date") > index)
@@ -133,38 +135,55 @@ def _score_and_information(beta: float, days: np.ndarray) -> tuple[float, float]
     vector, so the work grows with the number of events and the Python loop with the days only.
     """
     score, information = float(days[:, 1].sum()), 0.0
-    weight = exp(beta)
     for d0, d1, n0, n1 in days:
         share = np.arange(d0 + d1) / (d0 + d1)
-        exposed = weight * (n1 - share * d1)
-        mean = exposed / (exposed + n0 - share * d0)
+        exposed, others = n1 - share * d1, n0 - share * d0
+        # Scaled so that neither weight overflows.
+        exposed, others = (exposed * exp(beta), others) if beta < 0 else (exposed, others * exp(-beta))
+        mean = exposed / (exposed + others)
         score -= mean.sum()
         information += (mean * (1 - mean)).sum()
     return score, information
 
 
+def _has_estimate(days: np.ndarray) -> bool:
+    """Whether the score, which falls with beta, is positive far to the left and negative far to the right."""
+    exposed = others = 0
+    for d0, d1, n0, n1 in days:
+        share = np.arange(d0 + d1) / (d0 + d1)
+        exposed += int(np.count_nonzero(n1 - share * d1 > 1e-12))
+        others += int(np.count_nonzero(n0 - share * d0 > 1e-12))
+    events, treated = float(days[:, :2].sum()), float(days[:, 1].sum())
+    return events - others < treated < exposed
+
+
 def fit_cox(risk: pd.DataFrame) -> dict[str, float | None]:
     """Hazard ratio of treatment with its 95 % limits and Wald p, from one risk table.
 
-    Null when there is no event, or events in one arm only, for which no finite estimate exists.
+    Null exactly where no finite estimate exists, such as without events or with events in one arm
+    only. Otherwise the root of the falling score is bracketed, and Newton steps that leave the
+    bracket are replaced by halving it, so the search always ends.
     """
     empty = {"HR": None, "HR_lower_95CI": None, "HR_upper_95CI": None, "p_value": None}
-    rows = risk[risk.d0 + risk.d1 > 0]
-    if rows.d0.sum() == 0 or rows.d1.sum() == 0:
+    counts = risk[risk.d0 + risk.d1 > 0][["d0", "d1", "n0", "n1"]].to_numpy(float)
+    if not len(counts) or not _has_estimate(counts):
         return empty
-    counts = rows[["d0", "d1", "n0", "n1"]].to_numpy(float)
+    low, high = -1.0, 1.0
+    while _score_and_information(low, counts)[0] < 0:
+        low *= 2
+    while _score_and_information(high, counts)[0] > 0:
+        high *= 2
     beta = 0.0
-    for _ in range(50):
+    while True:
         score, information = _score_and_information(beta, counts)
-        if information <= 0:
-            return empty
-        step = float(np.clip(score / information, -2, 2))
-        beta += step
-        if abs(step) < 1e-10:
+        low, high = (beta, high) if score > 0 else (low, beta)
+        following = beta + score / information if information > 0 else low
+        if not low < following < high:
+            following = (low + high) / 2
+        if abs(following - beta) <= 1e-12 * max(1.0, abs(beta)):
             break
-    else:
-        return empty
-    error = 1 / sqrt(_score_and_information(beta, counts)[1])
+        beta = following
+    error = 1 / sqrt(information)
     return {
         "HR": exp(beta),
         "HR_lower_95CI": exp(beta - 1.959963984540054 * error),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import age_truncated, birth_date, safe_double
+from ..functions.columns import ORDER, age_truncated, birth_date, packed_order, safe_double
 from ..sources.tables import ClinicalTables
 from .concepts import ConceptSets
 from .cohort import CONDITION_SET, MEASUREMENT_SET
@@ -52,11 +54,16 @@ def windowed_entry(evidence: DataFrame) -> DataFrame:
     A diagnosis names the criterion whenever there is one, whatever its date; otherwise the
     earliest reading does, the lower record id on equal dates.
     """
-    order = F.struct("source_rank", "obesity_date", "record_id")
-    return evidence.groupBy("person_id").agg(
-        F.min("obesity_date").alias("obesity_entry_date"),
-        F.min_by("obesity_criterion", order).alias("obesity_criterion"),
+    label = F.col("obesity_criterion")
+    code = F.when(label == DIAGNOSIS, 1).when(label == HIGH, 2).otherwise(3)
+    # The code is chosen and turned back into its label after the grouping, which so needs no sort.
+    rank = F.col("source_rank").cast("decimal(4,0)") * F.lit(Decimal(10**30)).cast("decimal(31,0)")
+    order = (rank + packed_order("obesity_date", "record_id")).cast(ORDER)
+    chosen = evidence.groupBy("person_id").agg(
+        F.min("obesity_date").alias("obesity_entry_date"), F.min_by(code, order).alias("code")
     )
+    named = F.when(F.col("code") == 1, DIAGNOSIS).when(F.col("code") == 2, HIGH).otherwise(BANDED)
+    return chosen.select("person_id", "obesity_entry_date", named.alias("obesity_criterion"))
 
 
 def visits_before(cohort: DataFrame, visits: DataFrame, date: str, name: str = "visits_before_entry") -> DataFrame:

@@ -57,6 +57,12 @@ class Study:
     labs: Mapping[str, tuple[int, ...]] = field(default_factory=dict)
     lookback_months: int | None = None
     require_visit: bool = True
+    true_age_at_index: bool = False
+    baseline_include: ConceptSpec | None = None
+    baseline_exclude: ConceptSpec | None = None
+    subgroups: tuple[str, ...] = ()
+    cohort_input: str | None = None
+    outputs: Mapping[str, str] = field(default_factory=dict)
     min_followup_days: int = 0
     matching_features: tuple[str, ...] = ()
     caliper_multiplier: float = CALIPER
@@ -107,12 +113,39 @@ def _outcomes(entries) -> dict[str, tuple[int, ...]]:
     return {o["name"]: tuple(int(i) for i in o.get("concept_ids", [])) for o in entries or []}
 
 
+def _features(entries) -> dict[str, tuple[int, ...]]:
+    return {name: tuple(int(i) for i in ids) for name, ids in (entries or {}).items()}
+
+
+def _baseline(config: Mapping) -> dict[str, ConceptSpec]:
+    """Conditions that must, or must not, occur on or before the index date."""
+    rules = config.get("baseline_conditions", {})
+    return {f"baseline_{k}": ConceptSpec.of(rules[k]) for k in ("include", "exclude") if rules.get(k)}
+
+
 def _from_nested(config: Mapping) -> Study:
     sets = config.get("concept_sets", {})
-    study, exposure = config.get("study", {}), config.get("exposure", {})
+    study, exposure, output = (config.get(k, {}) for k in ("study", "exposure", "output"))
+    features, matching, follow_up = (config.get(k, {}) for k in ("features", "matching", "follow_up"))
     cap = config.get("debug", {}).get("max_persons")
     return Study(
         rules=EVIDENCE,
+        cohort_name=study.get("name", "cohort"),
+        output_dir=output.get("dir", "output"),
+        outputs={k.removesuffix("_csv"): v for k, v in output.items() if k.endswith("_csv")},
+        cohort_input=_ending(config.get("input", {}), "cohort"),
+        condition_features=_features(features.get("conditions")),
+        drug_features=_features(features.get("drugs")),
+        labs=_features(features.get("labs")),
+        lookback_months=features.get("lookback_months"),
+        matching_features=tuple(matching.get("features", ())),
+        caliper_multiplier=float(matching.get("caliper_multiplier", CALIPER)),
+        outcomes=_outcomes(config.get("outcomes")),
+        subgroups=tuple(config.get("subgroups", ())),
+        min_followup_days=int(follow_up.get("min_days") or 0),
+        max_followup_years=follow_up.get("max_years"),
+        exclude_ever_exposed=bool(exposure.get("exclude_ever_exposed", False)),
+        **_baseline(config),
         source_dir=config.get("cdm_path"),
         tables=dict(config.get("tables", {})),
         study_start=study.get("start_date", STUDY_START),
@@ -163,6 +196,11 @@ def _from_flat(config: Mapping) -> Study:
         matching_features=tuple(config.get("matching_features", ())),
         caliper_multiplier=float(config.get("caliper_multiplier", CALIPER)),
         outcomes=_outcomes(config.get("outcomes")),
+        true_age_at_index=bool(config.get("true_age_at_index", False)),
+        lookback_months=config.get("lookback_months"),
+        max_followup_years=config.get("max_followup_years"),
+        subgroups=tuple(config.get("subgroups", ())),
+        **_baseline(config),
     )
 
 

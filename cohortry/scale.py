@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +46,26 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Folder, below the staging root, of the work that is going on.
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Inside, staged tables go to a folder of their own, which is removed at the end.
+
+    Frames built inside must be written before that.
+    """
+    name = uuid.uuid4().hex
+    before = _SCRATCH.set(name)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark).rstrip('/')}/cohortry/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
@@ -50,6 +73,7 @@ def stage(df: DataFrame) -> DataFrame:
     true size, which lets the optimizer choose the right join for every later use.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark).rstrip('/')}/cohortry/{uuid.uuid4().hex}"
+    below = f"{_SCRATCH.get()}/" if _SCRATCH.get() else ""
+    path = f"{staging_root(spark).rstrip('/')}/cohortry/{below}{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+from ..scale import DRIVER_IDS
+from .csv_tables import csv_options, detect_delimiter
+
 logger = logging.getLogger(__name__)
 
 
+# A concept file is read whole on the driver up to this size.
+FILE_BYTES = 64 << 20
+
+
 @dataclass(frozen=True)
 class ConceptSpec:
     """Concept ids as written in a study, and how to expand them through the hierarchy.
@@ -39,17 +47,36 @@ class ConceptSpec:
         return cls(tuple(int(i) for i in value), False, include_self)
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    """Contents of one small file on any file system, None when there is no such file."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file, on any file system; nothing of it is read."""
     try:
-        rows = spark.read.option("wholetext", True).text(path).collect()
+        spark.read.text(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return False
         raise
+    return True
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of one small file on any file system, None when there is no such file."""
+    if not _exists(spark, path):
+        return None
+    size = spark.read.format("binaryFile").load(path).select("length").first()
+    if size and size[0] > FILE_BYTES:
+        raise ValueError(f"{path} has {size[0]} bytes; a concept file may have {FILE_BYTES}")
+    rows = spark.read.option("wholetext", True).text(path).collect()
     return rows[0].value if rows else ""
 
 
+def _bounded(rows: DataFrame, path: str) -> list:
+    """The rows of a file that a study keeps on the driver, an error beyond ``DRIVER_IDS``."""
+    found = rows.limit(DRIVER_IDS + 1).collect()
+    if len(found) > DRIVER_IDS:
+        raise ValueError(f"{path} has more than {DRIVER_IDS} rows")
+    return found
+
+
 def load_json(spark: SparkSession, path: str):
     text = _read_text(spark, path)
     if text is None:
@@ -70,7 +97,7 @@ def load_concept_set(spark: SparkSession, path: str) -> list[int]:
 
 def read_concept_csv(spark: SparkSession, path: str) -> DataFrame:
     """The ``concept_id`` column (any case) of a CSV file; unreadable ids are dropped."""
-    ids = spark.read.option("header", True).csv(path)
+    ids = spark.read.options(**csv_options(detect_delimiter(spark, path))).csv(path)
     return ids.select(F.col("concept_id").try_cast("bigint").alias("concept_id")).filter("concept_id IS NOT NULL")
 
 
@@ -85,11 +112,11 @@ def load_drug_specs(spark: SparkSession, drugs: Sequence[str], folders: Iterable
     for drug in drugs:
         spec = None
         for folder in folders:
-            if _read_text(spark, f"{folder}/{drug}_concepts.csv") is not None:
-                rows = read_concept_csv(spark, f"{folder}/{drug}_concepts.csv").collect()
+            if _exists(spark, f"{folder}/{drug}_concepts.csv"):
+                rows = _bounded(read_concept_csv(spark, f"{folder}/{drug}_concepts.csv"), f"{drug}_concepts.csv")
                 if rows:
                     spec = ConceptSpec(tuple(r.concept_id for r in rows), include_descendants=False)
-            if spec is None and _read_text(spark, f"{folder}/{drug}_concepts.json") is not None:
+            if spec is None and _exists(spark, f"{folder}/{drug}_concepts.json"):
                 spec = ConceptSpec.of(load_json(spark, f"{folder}/{drug}_concepts.json"), include_self=False)
             if spec is not None:
                 break
@@ -102,7 +129,7 @@ def load_drug_specs(spark: SparkSession, drugs: Sequence[str], folders: Iterable
 def parse_id_list(cell: str | None) -> list[int]:
     """Ids of a comma list; blanks and unreadable parts are skipped."""
     parts = (p.strip() for p in (cell or "").split(","))
-    return [int(float(p)) for p in parts if p.removesuffix(".0").lstrip("+-").isdigit()]
+    return [int(p.removesuffix(".0")) for p in parts if re.fullmatch(r"[+-]?[0-9]+(\.0)?", p)]
 
 
 def exploded_ids(df: DataFrame, name: str = "name", ids: str = "concept_ids") -> DataFrame:
@@ -117,7 +144,7 @@ def exploded_ids(df: DataFrame, name: str = "name", ids: str = "concept_ids") ->
 
 def load_feature_csv(spark: SparkSession, path: str) -> dict[str, list[int]]:
     """Feature name -> ids from a ``Name,concept_ids,description`` file, in file order."""
-    rows = spark.read.option("header", True).csv(path).select("name", "concept_ids").collect()
+    rows = _bounded(spark.read.options(**csv_options(detect_delimiter(spark, path))).csv(path).select("name", "concept_ids"), path)
     return {r[0]: parse_id_list(r[1]) for r in rows}
 
 

@@ -11,6 +11,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .schemas import CONCEPT_COLUMN, TABLE_TYPES
 
 BAD_LINE = "_bad_line"
+DELIMITERS = (",", "\t", ";", "|")
+#: Patterns besides the ISO forms that a cast reads.
+DATE_PATTERNS = {"date": ("yyyyMMdd", "yyyy/MM/dd"), "timestamp": ("yyyyMMdd", "yyyyMMdd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd")}
+
+
+def detect_delimiter(spark: SparkSession, path: str) -> str:
+    """The delimiter the first line holds most often outside quotes; a comma when it holds none."""
+    first = spark.read.text(path).first()
+    plain = "".join((first.value if first else "").split('"')[::2])
+    return max(DELIMITERS, key=lambda d: (plain.count(d), -DELIMITERS.index(d)))
+
+
+def csv_options(delimiter: str = ",", multi_line: bool = False) -> dict[str, str | bool]:
+    """Reader options of RFC 4180: a quote inside a quoted value is doubled."""
+    return {"header": True, "sep": delimiter, "quote": '"', "escape": '"', "multiLine": multi_line}
 
 
 def resolve_path(base: str, path: str) -> str:
@@ -57,9 +72,9 @@ def discover_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
     return match_tables(list_csv_files(spark, folder))
 
 
-def _with_types(raw: DataFrame, types: Mapping[str, str]) -> tuple[list[Column], list[Column]]:
-    """Typed columns, and one test per column that its text is readable."""
-    columns, readable = [], []
+def _with_types(raw: DataFrame, types: Mapping[str, str]) -> tuple[list[Column], dict[str, Column]]:
+    """Typed columns, and per declared column whether its text is readable."""
+    columns, readable = [], {}
     for name in raw.columns:
         if name == BAD_LINE:
             continue
@@ -70,30 +85,44 @@ def _with_types(raw: DataFrame, types: Mapping[str, str]) -> tuple[list[Column],
             columns.append(value.alias(key))
             continue
         typed = value.try_cast(kind)
+        if kind in DATE_PATTERNS:
+            typed = F.coalesce(typed, *[F.try_to_timestamp(value, F.lit(p)).cast(kind) for p in DATE_PATTERNS[kind]])
         if kind == "int" or kind == "bigint":
             # Exports made from float columns write 5 as 5.0.
             typed = F.coalesce(typed, F.regexp_extract(value, r"^([+-]?\d+)\.0*$", 1).try_cast(kind))
         columns.append(typed.alias(key))
-        readable.append(value.isNull() | typed.isNotNull())
+        readable[key] = value.isNull() | typed.isNotNull()
     return columns, readable
 
 
-def _read_same_header(spark: SparkSession, paths: list[str], types: Mapping[str, str]) -> DataFrame:
-    header = spark.read.option("header", True).csv(paths[0]).columns
+def _raw_lines(
+    spark: SparkSession, paths: list[str], types: Mapping[str, str], delimiter: str | None, multi_line: bool
+) -> tuple[DataFrame, Column]:
+    """All lines as text, and whether a line has as many fields as the header."""
+    options = csv_options(delimiter or detect_delimiter(spark, paths[0]), multi_line)
+    header = spark.read.options(**options).csv(paths[0]).columns
+    if types and not {h.lower() for h in header} & set(types):
+        raise ValueError(f"{paths[0]}: none of the expected columns in the header {header}; is the delimiter {options['sep']!r} right?")
     schema = ", ".join(f"`{c}` string" for c in [*header, BAD_LINE])
     raw = (
         spark.read.schema(schema)
-        .option("header", True)
+        .options(**options)
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .csv(paths)
     )
-    columns, readable = _with_types(raw, types)
     # A wrong field count is only noticed when every column is parsed. The length test is always
     # true but names them all, so bad lines go whatever columns the query selects.
     all_parsed = F.length(F.coalesce(*[F.col(f"`{c}`") for c in header], F.lit(""))) >= 0
-    good = reduce(Column.__and__, readable, all_parsed & F.col(BAD_LINE).isNull())
-    return raw.filter(good).select(*columns)
+    return raw, all_parsed & F.col(BAD_LINE).isNull()
+
+
+def _read_same_header(
+    spark: SparkSession, paths: list[str], types: Mapping[str, str], delimiter: str | None, multi_line: bool
+) -> DataFrame:
+    raw, whole = _raw_lines(spark, paths, types, delimiter, multi_line)
+    columns, readable = _with_types(raw, types)
+    return raw.filter(reduce(Column.__and__, readable.values(), whole)).select(*columns)
 
 
 def read_csv_table(
@@ -102,27 +131,55 @@ def read_csv_table(
     table: str | None = None,
     types: Mapping[str, str] | None = None,
     union_by_name: bool = False,
+    delimiter: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A CSV table with a header, lower-case column names and declared types.
 
-    Lines with a wrong field count or a value that does not fit its declared type are dropped.
+    Quoted values may hold delimiters and doubled quotes, with ``multi_line`` also line ends (a file is
+    then read by one task). Without ``delimiter`` the header line tells it. Dates may be ISO or YYYYMMDD.
+    Lines with a wrong field count or a value that does not fit its declared type are dropped;
+    ``dropped_lines`` counts them. A header without any declared column is an error.
     Files read together must share a header; with ``union_by_name`` each file may have its own
     and missing columns become null.
     """
     files = [paths] if isinstance(paths, str) else list(paths)
     wanted = types if types is not None else TABLE_TYPES.get(table or "", {})
     if not union_by_name:
-        return _read_same_header(spark, files, wanted)
-    parts = [_read_same_header(spark, [f], wanted) for f in files]
+        return _read_same_header(spark, files, wanted, delimiter, multi_line)
+    parts = [_read_same_header(spark, [f], wanted, delimiter, multi_line) for f in files]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def dropped_lines(
+    spark: SparkSession,
+    paths: str | list[str],
+    table: str | None = None,
+    types: Mapping[str, str] | None = None,
+    delimiter: str | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """``(file, reason, n)`` of the lines ``read_csv_table`` leaves out: ``field count``, or the first unreadable column."""
+    files = [paths] if isinstance(paths, str) else list(paths)
+    wanted = types if types is not None else TABLE_TYPES.get(table or "", {})
+    parts = []
+    for file in files:
+        raw, whole = _raw_lines(spark, [file], wanted, delimiter, multi_line)
+        reason = F.when(~whole, "field count")
+        for name, fine in _with_types(raw, wanted)[1].items():
+            reason = reason.when(~fine, name)
+        parts.append(raw.select(F.col("_metadata.file_path").alias("file"), reason.alias("reason")).filter("reason IS NOT NULL"))
+    return reduce(DataFrame.union, parts).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def convert_to_parquet(
     spark: SparkSession,
     folder: str,
     target: str,
     tables: Iterable[str] | None = None,
     union_by_name: bool = False,
+    delimiter: str | None = None,
+    multi_line: bool = False,
 ) -> dict[str, str]:
     """Convert every discovered table once; returns table -> Parquet path.
 
@@ -133,7 +190,7 @@ def convert_to_parquet(
     for table, paths in discover_tables(spark, folder).items():
         if tables is not None and table not in tables:
             continue
-        df = read_csv_table(spark, paths, table, union_by_name=union_by_name)
+        df = read_csv_table(spark, paths, table, union_by_name=union_by_name, delimiter=delimiter, multi_line=multi_line)
         order = CONCEPT_COLUMN.get(table)
         if order in df.columns:
             df = df.sortWithinPartitions(order)

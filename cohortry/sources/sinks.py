@@ -7,24 +7,31 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from .csv_tables import csv_options
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", delimiter: str = ",") -> str:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        # Quotes are doubled, blanks at the ends stay, and an empty text is quoted, so that it differs from null.
+        plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(header=True, sep=delimiter, quote='"', escape='"', **plain).csv(path)
     else:
         writer.format(fmt).save(path)
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    return write_table(df, path, "csv")
+def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> str:
+    return write_table(df, path, "csv", delimiter)
 
 
 def read_back(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv") -> DataFrame:
-    """A written result with its types; CSV columns are matched by position as they were written."""
+    """A written result with its types; CSV columns are matched by position as they were written.
+
+    Texts with line ends are read only in multi-line mode, which every reader of this package offers.
+    """
     reader = spark.read.schema(schema)
-    return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    return reader.options(**csv_options(multi_line=True)).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
 
 
 def save_with_suffix(df: DataFrame, base: str, suffix: str | None = None, fmt: str = "csv") -> str:

@@ -43,13 +43,16 @@ class ClinicalTables:
         self._frames: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_csv(cls, spark: SparkSession, folder: str, files: Mapping[str, str] | None = None) -> ClinicalTables:
-        """Tables found in ``folder``, or the given table -> file (or glob) mapping below it."""
+    def from_csv(cls, spark: SparkSession, folder: str, files: Mapping[str, str] | None = None, **reading) -> ClinicalTables:
+        """Tables found in ``folder``, or the given table -> file (or glob) mapping below it.
+
+        ``reading`` goes to ``read_csv_table``: delimiter, multi_line, union_by_name.
+        """
         if files is not None:
             found = {table: [resolve_path(folder, path)] for table, path in files.items()}
         else:
             found = discover_tables(spark, folder)
-        return cls(spark, {t: (lambda t=t, p=p: read_csv_table(spark, p, t)) for t, p in found.items()})
+        return cls(spark, {t: (lambda t=t, p=p: read_csv_table(spark, p, t, **reading)) for t, p in found.items()})
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, paths: Mapping[str, str]) -> ClinicalTables:

@@ -53,10 +53,13 @@ STEPS: dict[str, str] = {
     "condition_days": f"SELECT person_id, condition_concept_id AS concept_id, {CONDITION_DAY} AS day FROM condition_occurrence",
     "drug_days": f"SELECT person_id, drug_concept_id AS concept_id, drug_exposure_id AS event_id, {DRUG_DAY} AS day FROM drug_exposure",
     "first_dx": "SELECT person_id, MIN(day) AS first_date FROM condition_days SEMI JOIN set_conditions USING (concept_id) GROUP BY ALL",
+    # Readings of the set; one without a number stays and compares as unknown.
     "readings": """
-        SELECT person_id, COALESCE(measurement_date, measurement_datetime)::DATE AS measurement_date,
-               TRY_CAST(value_as_number AS DOUBLE) AS value
-        FROM measurement WHERE measurement_concept_id = 0 AND value_as_number IS NOT NULL""",
+        WITH dated AS (
+            SELECT person_id, TRY_CAST(value_as_number AS DOUBLE) AS value, value_as_number AS written,
+                   COALESCE(measurement_date, CAST(measurement_datetime AS DATE)) AS measurement_date
+            FROM measurement JOIN all_sets ON set_name = 'measurements' AND concept_id = measurement_concept_id)
+        SELECT person_id, measurement_date, value FROM dated WHERE written IS NOT NULL""",
     "first_high": "SELECT person_id, MIN(measurement_date) AS first_high FROM readings WHERE value >= 30 GROUP BY person_id",
     "comorbid": "SELECT person_id, day AS event_date FROM condition_days SEMI JOIN set_comorbidities USING (concept_id)",
     "banded": """
@@ -64,11 +67,13 @@ STEPS: dict[str, str] = {
         WHERE value >= 27 AND value < 30
           AND EXISTS (SELECT 1 FROM comorbid c WHERE c.person_id = r.person_id AND c.event_date <= r.measurement_date)""",
     "first_banded": "SELECT person_id, MIN(measurement_date) AS first_banded FROM banded GROUP BY person_id",
+    # One row per person with the first date of each kind of evidence, then one per date there is.
+    "evidence_wide": """
+        SELECT person_id, MIN(first_date) AS condition_dx, MIN(first_high) AS bmi_ge_30, MIN(first_banded) AS bmi_ge_27_plus_comorb
+        FROM (FROM first_dx UNION ALL BY NAME FROM first_high UNION ALL BY NAME FROM first_banded) GROUP BY person_id""",
     "candidates": """
-        SELECT person_id, first_date AS index_date, 'condition_dx' AS index_source, 1 AS source_rank
-        FROM first_dx WHERE first_date IS NOT NULL
-        UNION ALL SELECT person_id, first_high, 'bmi_ge_30', 2 FROM first_high
-        UNION ALL SELECT person_id, first_banded, 'bmi_ge_27_plus_comorb', 3 FROM first_banded""",
+        SELECT person_id, index_date, index_source, list_position(['condition_dx', 'bmi_ge_30', 'bmi_ge_27_plus_comorb'], index_source) AS source_rank
+        FROM (UNPIVOT (SELECT * FROM evidence_wide) ON condition_dx, bmi_ge_30, bmi_ge_27_plus_comorb INTO NAME index_source VALUE index_date)""",
     "chosen": """
         SELECT person_id, index_date, index_source FROM candidates
         QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY index_date, source_rank) = 1""",
@@ -86,24 +91,27 @@ STEPS: dict[str, str] = {
                gender_concept_id, race_concept_id, ethnicity_concept_id
         FROM person""",
     "first_death": "SELECT person_id, MIN(death_date) AS death_date FROM death WHERE death_date IS NOT NULL GROUP BY person_id",
-    "seen_before": """
-        SELECT person_id FROM chosen c WHERE EXISTS (
-            FROM visit_occurrence v WHERE v.person_id = c.person_id
-            AND COALESCE(v.visit_start_date, v.visit_start_datetime)::DATE < c.index_date)""",
-    "covered_index": """
-        SELECT person_id FROM chosen c WHERE EXISTS (
-            FROM observation_period o WHERE o.person_id = c.person_id AND c.index_date >= o.observation_period_start_date
-            AND c.index_date <= o.observation_period_end_date)""",
+    # One row per person, a column per rule.
+    "visit_rule": """
+        SELECT c.person_id, bool_or(CAST(COALESCE(v.visit_start_date, v.visit_start_datetime) AS DATE) < c.index_date) AS visited
+        FROM chosen c LEFT JOIN visit_occurrence v ON v.person_id = c.person_id GROUP BY c.person_id""",
+    "period_rule": """
+        SELECT c.person_id, bool_or(o.observation_period_start_date <= c.index_date AND c.index_date <= o.observation_period_end_date) AS observed
+        FROM chosen c LEFT JOIN observation_period o ON o.person_id = c.person_id GROUP BY c.person_id""",
+    "seen_before": "SELECT person_id FROM visit_rule WHERE visited",
+    "covered_index": "SELECT person_id FROM period_rule WHERE observed",
     "aged": f"""
         SELECT f.*, birth_date, {_rounded_age('birth_date', 'index_date')} AS age_at_index,
                gender_concept_id, race_concept_id, ethnicity_concept_id
         FROM flagged f JOIN core USING (person_id)""",
+    "rules": """
+        SELECT a.*, death_date, visited, observed,
+               index_date >= DATE '1995-03-01' AND index_date <= DATE '2001-12-31' AS in_dates,
+               age_at_index >= 18 AS adult, birth_date <= index_date AS born, death_date < index_date AS dead
+        FROM aged a LEFT JOIN first_death USING (person_id) LEFT JOIN visit_rule USING (person_id) LEFT JOIN period_rule USING (person_id)""",
     "cohort": """
-        SELECT a.*, death_date
-        FROM aged a SEMI JOIN seen_before USING (person_id) SEMI JOIN covered_index USING (person_id)
-        LEFT JOIN first_death USING (person_id)
-        WHERE index_date BETWEEN DATE '1995-03-01' AND DATE '2001-12-31' AND age_at_index >= 18
-          AND birth_date <= index_date AND COALESCE(death_date >= index_date, TRUE)""",
+        SELECT * EXCLUDE (visited, observed, in_dates, adult, born, dead) FROM rules
+        WHERE visited AND observed AND in_dates AND adult AND born AND dead IS NOT TRUE""",
     # Exposure, evidence rules.
     "base": """
         SELECT person_id, index_date AS obesity_index_date, index_source, birth_date, age_at_index,
@@ -113,13 +121,16 @@ STEPS: dict[str, str] = {
         SELECT person_id, MIN(event_date) AS exposure_date,
                arg_min(concept_id, (event_date, event_id, concept_id)) AS exposure_concept_id
         FROM exposures GROUP BY person_id""",
+    # Exposed at any time, with or without a date.
+    "ever_treated": "SELECT DISTINCT person_id FROM drug_exposure WHERE drug_concept_id IN (SELECT concept_id FROM set_exposure)",
     "user_candidates": """
-        SELECT person_id, exposure_date AS exposure_index_date, exposure_concept_id,
-               (exposure_date - obesity_index_date)::INTEGER AS days_from_index
-        FROM base JOIN first_use f USING (person_id)
-        WHERE exposure_date - obesity_index_date BETWEEN 0 AND 730 AND EXISTS (
-            FROM observation_period o WHERE o.person_id = base.person_id
-            AND f.exposure_date >= o.observation_period_start_date AND f.exposure_date <= o.observation_period_end_date)""",
+        WITH rules AS (
+            SELECT b.person_id, f.exposure_date, f.exposure_concept_id, date_diff('day', b.obesity_index_date, f.exposure_date) AS gap,
+                   bool_or(o.observation_period_start_date <= f.exposure_date AND f.exposure_date <= o.observation_period_end_date) AS observed
+            FROM base b JOIN first_use f ON f.person_id = b.person_id
+            LEFT JOIN observation_period o ON o.person_id = b.person_id GROUP BY ALL)
+        SELECT person_id, exposure_date AS exposure_index_date, exposure_concept_id, CAST(gap AS INTEGER) AS days_from_index
+        FROM rules WHERE observed AND gap >= 0 AND gap <= 730""",
     "arms": f"""
         SELECT b.*, u.exposure_index_date, u.exposure_concept_id, u.days_from_index,
                {_rounded_age('b.birth_date', 'u.exposure_index_date')} AS age_at_exposure_index,
@@ -284,7 +295,7 @@ STEPS: dict[str, str] = {
                LEAST(f.obs_end, f.death_date, DATE '2001-12-31', CAST(f.index_date + INTERVAL 60 MONTH AS DATE)) AS censor,
                (SELECT MIN(e.day) FROM outcome_events e WHERE e.person_id = f.person_id AND e.outcome = o.outcome
                 AND e.day > f.index_date) AS event
-        FROM followed f CROSS JOIN (SELECT unnest(['out_a', 'out_b']) AS outcome) o""",
+        FROM followed f CROSS JOIN (SELECT unnest(['out_a', 'out_b']) AS outcome) o WHERE f.obs_end IS NOT NULL""",
     "survival": """
         SELECT person_id, treatment, stratum, outcome, CAST(date_diff('day', index_date, LEAST(event, censor)) AS INTEGER) AS T,
                CASE WHEN event <= censor THEN 1 ELSE 0 END AS E,
@@ -310,6 +321,28 @@ def _risk(keys: str) -> str:
               FROM survival GROUP BY {keys}, T)"""
 
 
+def _cox(keys: str, rounds: int = 14) -> str:
+    """Newton steps from zero on the Efron likelihood, one sub-query a step; no estimate without events in both arms."""
+    using = f"USING ({keys})"
+    steps = [f"""
+        shares AS (
+            SELECT {keys}, d0, d1, n0, n1, i / (d0 + d1) AS f, d1 / (d0 + d1) AS part
+            FROM (SELECT *, unnest(range(d0 + d1)) AS i FROM ({_risk(keys)}) WHERE d0 + d1 > 0)),
+        groups AS (SELECT DISTINCT {keys} FROM survival),
+        both_arms AS (SELECT {keys} FROM shares GROUP BY {keys} HAVING SUM(d0) > 0 AND SUM(d1) > 0),
+        b0 AS (SELECT {keys}, 0.0::DOUBLE AS b, 0.0::DOUBLE AS info FROM both_arms)"""]
+    for k in range(rounds):
+        steps.append(f"""
+        b{k + 1} AS (
+            SELECT {keys}, ANY_VALUE(b) + SUM(part - m) / SUM(m * (1 - m)) AS b, SUM(m * (1 - m)) AS info FROM (
+                SELECT s.*, b, exp(b) * (n1 - f * d1) / (exp(b) * (n1 - f * d1) + n0 - f * d0) AS m
+                FROM shares s JOIN b{k} {using}) GROUP BY {keys})""")
+    low, high = (f"ROUND(exp(b {sign} 1.959963984540054 / sqrt(info)), 6)" for sign in "-+")
+    return f"""WITH {','.join(steps)}
+        SELECT {keys}, ROUND(exp(b), 6) AS "HR", {low} AS "HR_lower_95CI", {high} AS "HR_upper_95CI"
+        FROM groups LEFT JOIN b{rounds} {using}"""
+
+
 def _rounded(columns: str, *doubles: str, source: str) -> str:
     parts = [columns, *[f"ROUND({d}, 6) AS {d}" for d in doubles]]
     return f"SELECT {', '.join(p for p in parts if p)} FROM {source}"
@@ -376,12 +409,59 @@ CHECKS: dict[str, str] = {
         SELECT visit_occurrence_id, person_id, visit_concept_id, visit_start_date FROM visit_occurrence
         WHERE visit_concept_id IN (9201, 9202) AND visit_start_date >= DATE '1996-01-01'
           AND visit_end_date <= DATE '2000-12-31'""",
-    "acc_empty_set": "SELECT person_id, condition_occurrence_id FROM condition_occurrence WHERE 1 = 0",
+    "acc_empty_set": """
+        SELECT 'no filter' AS "case", COUNT(*) AS n FROM condition_occurrence
+        UNION ALL SELECT 'empty list', 0 UNION ALL SELECT 'empty frame', 0""",
     "date_range": f"SELECT person_id, death_date FROM death WHERE death_date {IN_STUDY}",
     "sql_query": "SELECT visit_concept_id, COUNT(*) AS n FROM visit_occurrence GROUP BY visit_concept_id",
     "csv_person": "SELECT person_id, year_of_birth, month_of_birth, CAST(gender_concept_id AS BIGINT) AS gender_concept_id, CAST(birth_datetime AS DATE) AS born FROM person",
     "csv_measurement": "SELECT measurement_id, person_id, measurement_concept_id, measurement_date, value_as_number FROM measurement",
     "csv_arms": f"SELECT {_ARM_COLUMNS}, exposure_index_date, exposure_concept_id, days_from_index, age_at_exposure_index, user_flag FROM arms",
+    "csv_quoted": """SELECT doc_id, replace(text, 'e ', 'e", "') AS text FROM documents""",
+    "csv_delimited": "SELECT concept_id, concept_name, domain_id, standard_concept FROM concept",
+    "csv_dates": "SELECT person_id, death_date FROM death",
+    "csv_dropped": """
+        SELECT CASE WHEN visit_occurrence_id % 5 = 0 THEN 'visit_occurrence_id' ELSE 'visit_start_date' END AS reason, COUNT(*) AS n
+        FROM visit_occurrence WHERE visit_occurrence_id % 5 = 0 OR visit_occurrence_id % 3 = 0 GROUP BY 1""",
+    "file_drugs": """
+        SELECT set_name, COUNT(*) AS n FROM (
+            SELECT 'five' AS set_name, concept_id FROM concept WHERE concept_id < 200 AND concept_id % 20 = 5
+            UNION SELECT 'ten', descendant_concept_id FROM concept_ancestor WHERE ancestor_concept_id IN (
+                SELECT concept_id FROM concept WHERE concept_id IN (100, 110))) s
+        JOIN drug_exposure ON drug_concept_id = concept_id GROUP BY set_name""",
+    "file_features": """
+        SELECT 'f' || CAST(drug_concept_id % 10 AS VARCHAR) AS set_name, COUNT(*) AS n
+        FROM drug_exposure WHERE drug_concept_id % 10 < 3
+          AND drug_concept_id IN (SELECT concept_id FROM concept WHERE concept_id < 200) GROUP BY 1""",
+    "file_sets": """
+        SELECT set_name, COUNT(*) AS n FROM drug_exposure CROSS JOIN (SELECT unnest(['lab', 'set']) AS set_name)
+        WHERE drug_concept_id IN (SELECT concept_id FROM concept WHERE concept_id IN (100, 110)) GROUP BY 1""",
+    "written_matching": """
+        SELECT 'matched_users' AS name, COUNT(*) AS n FROM matched WHERE treatment = 1
+        UNION ALL SELECT 'matched_nonusers', COUNT(*) FROM matched WHERE treatment = 0
+        UNION ALL SELECT 'match_pairs', COUNT(*) FROM pairs
+        UNION ALL SELECT 'balance_stats', COUNT(*) FROM smd_after
+        UNION ALL SELECT 'arms', COUNT(*) FROM arms""",
+    "ps_gradient": "SELECT 'intercept' AS feature, 0.0::DOUBLE AS gradient UNION ALL "
+    + " UNION ALL ".join(f"SELECT 'z_{f}', 0.0 FROM feature_medians WHERE {f} IS NOT NULL" for f in FEATURES),
+    "cox_limits": _cox("outcome"),
+    "cox_subgroup_limits": _cox("outcome, stratum"),
+    "study_evidence_balance": "SELECT feature, ROUND(smd, 6) AS smd_before FROM smd_before WHERE user_mean IS NOT NULL AND non_user_mean IS NOT NULL",
+    "study_evidence_attrition": """
+        SELECT NULL::INTEGER AS user_flag, 'cohort' AS step, COUNT(*) AS n FROM cohort
+        UNION ALL SELECT user_flag, step, COUNT(*) FROM arms CROSS JOIN (SELECT unnest(['initial', 'eligible']) AS step) GROUP BY user_flag, step""",
+    "study_windowed_attrition": f"""
+        WITH dated AS (SELECT *, CASE WHEN user_flag = 1 THEN exposure_index_date ELSE obesity_entry_date END AS t0 FROM w_arms),
+        ruled AS (
+            SELECT d.person_id, d.user_flag, {_whole_years('d.birth_date', 'd.t0')} >= 30 AS old_enough, d.visits_before_entry > 0 AS visited,
+                   bool_or(s.concept_id IS NOT NULL AND {CONDITION_DAY} <= d.t0) AS excluded
+            FROM dated d LEFT JOIN condition_occurrence e ON e.person_id = d.person_id
+            LEFT JOIN ({_expanded("30")}) s ON s.concept_id = e.condition_concept_id GROUP BY ALL)
+        SELECT NULL::INTEGER AS user_flag, 'cohort' AS step, COUNT(*) AS n FROM w_cohort
+        UNION ALL SELECT user_flag, 'initial', COUNT(*) FROM ruled GROUP BY user_flag
+        UNION ALL SELECT user_flag, 'min_age', COUNT(*) FILTER (WHERE old_enough) FROM ruled GROUP BY user_flag
+        UNION ALL SELECT user_flag, 'baseline_visit', COUNT(*) FILTER (WHERE old_enough AND visited) FROM ruled GROUP BY user_flag
+        UNION ALL SELECT user_flag, 'eligible', COUNT(*) FROM ruled WHERE old_enough AND visited AND excluded IS NOT TRUE GROUP BY user_flag""",
     "evidence_condition": "SELECT person_id, first_date FROM first_dx",
     "evidence_measure": "SELECT person_id, measurement_date, ROUND(value, 6) AS value FROM readings",
     "evidence_high": "SELECT person_id, first_high FROM first_high",
@@ -421,7 +501,9 @@ CHECKS: dict[str, str] = {
                birth_date, age_at_exposure_index, gender_concept_id, race_concept_id, ethnicity_concept_id, death_date
         FROM arms WHERE user_flag = 1""",
     "non_users": f"SELECT {_ARM_COLUMNS} FROM arms WHERE user_flag = 0",
-    "non_users_clean": f"SELECT {_ARM_COLUMNS} FROM arms WHERE user_flag = 0 AND person_id NOT IN (SELECT person_id FROM first_use)",
+    "non_users_clean": f"SELECT {_ARM_COLUMNS} FROM arms WHERE user_flag = 0 AND person_id NOT IN (SELECT person_id FROM ever_treated)",
+    "arms_clean": "SELECT person_id, user_flag FROM arms WHERE user_flag = 1 OR person_id NOT IN (SELECT person_id FROM ever_treated)",
+    "arms_unexposed": "SELECT 0 AS user_flag, COUNT(*) AS n FROM base HAVING COUNT(*) > 0",
     "arms": f"SELECT {_ARM_COLUMNS}, exposure_index_date, exposure_concept_id, days_from_index, age_at_exposure_index, user_flag FROM arms",
     "arm_counts": "SELECT user_flag, COUNT(*) AS n FROM arms GROUP BY user_flag",
     "labelled_exposures": """
@@ -536,6 +618,23 @@ CHECKS: dict[str, str] = {
         WHERE b.user_mean IS NOT NULL AND b.non_user_mean IS NOT NULL""",
     "imbalance": "SELECT feature, ROUND(smd, 6) AS smd FROM smd_before WHERE smd > 0.1 ORDER BY smd_before.smd DESC, feature LIMIT 5",
     "survival_data": "SELECT person_id, treatment, outcome, T, E FROM survival",
+    "survival_uncovered": """
+        WITH moved AS (SELECT person_id, treatment, CAST(index_date - INTERVAL 400 DAY AS DATE) AS t0 FROM scored),
+        watched AS (
+            SELECT m.*, o.outcome, d.death_date,
+                   LEAST(p.observation_period_end_date, DATE '2001-12-31', CAST(t0 + INTERVAL 60 MONTH AS DATE)) AS last_day
+            FROM moved m JOIN observation_period p ON p.person_id = m.person_id
+             AND p.observation_period_start_date <= t0 AND t0 <= p.observation_period_end_date
+            CROSS JOIN (SELECT unnest(['out_a', 'out_b']) AS outcome) o
+            LEFT JOIN first_death d ON d.person_id = m.person_id),
+        hit AS (
+            SELECT w.person_id, w.treatment, w.outcome, w.t0, LEAST(w.last_day, w.death_date) AS stop,
+                   MIN(e.day) FILTER (WHERE e.day > w.t0) AS first_event
+            FROM watched w LEFT JOIN outcome_events e ON e.person_id = w.person_id AND e.outcome = w.outcome
+            GROUP BY ALL)
+        SELECT person_id, treatment, outcome, CAST(date_diff('day', t0, LEAST(stop, first_event)) AS INTEGER) AS T,
+               COALESCE(first_event <= stop, FALSE)::INTEGER AS E
+        FROM hit WHERE stop >= t0""",
     "survival_competing": "SELECT person_id, treatment, outcome, T, E2 AS E FROM survival",
     "risk_table": _risk("outcome"),
     "subgroup_risk": _risk("outcome, stratum"),
@@ -590,4 +689,6 @@ def _needed(sql: str) -> list[str]:
 def check_sql(key: str) -> str:
     """The complete statement for one registered query."""
     steps = ",\n".join(f"{name} AS ({STEPS[name]})" for name in _needed(CHECKS[key]))
-    return f"WITH {steps}\n{CHECKS[key]}" if steps else CHECKS[key]
+    # A check may declare sub-queries of its own.
+    own = f"SELECT * FROM ({CHECKS[key]})" if CHECKS[key].lstrip().startswith("WITH") else CHECKS[key]
+    return f"WITH {steps}\n{own}" if steps else own

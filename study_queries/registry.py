@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,8 +14,9 @@ from cohortry.operators import balance, cohort, concepts, covariates, drug_table
 from cohortry.operators import matching, propensity, survival, windowed
 from cohortry.plans import steps
 from cohortry.scale import stage, staging_root
-from cohortry.sources.concept_files import exploded_ids
-from cohortry.sources.sinks import read_back, write_csv
+from cohortry.sources import concept_files, csv_tables
+from cohortry.sources.concept_files import ConceptSpec, exploded_ids
+from cohortry.sources.sinks import read_back, save_with_suffix, write_csv, write_matching
 from cohortry.sources.tables import ClinicalTables
 
 from .study_setup import DRUGS, STUDY, WINDOWED_STUDY
@@ -165,7 +166,7 @@ def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def concept_expand(c):
-    return c.sets.rows
+    return concepts.expand_named(c.spark, c.tables["concept_ancestor"], _specs())
 
 
 @query
@@ -211,12 +212,12 @@ def concept_details(c):
 
 @query
 def concept_summary(c):
-    return concepts.set_summary(c.sets.rows, _specs())
+    return concepts.set_summary(concept_expand(c), _specs())
 
 
 @query
 def drug_concepts(c):
-    return c.sets.frame(*DRUG_NAMES).select("concept_id").distinct()
+    return concepts.expand_named(c.spark, c.tables["concept_ancestor"], DRUGS).select("concept_id").distinct()
 
 
 @query
@@ -271,7 +272,13 @@ def acc_visit(c):
 
 @query
 def acc_empty_set(c):
-    return c.tables.conditions(concept_ids=[]).select("person_id", "condition_occurrence_id")
+    """Rows by filter: none keeps all, an empty list or frame nothing."""
+    nobody = c.tables["person"].filter("person_id < 0").select("person_id")
+    kept = {
+        "no filter": c.tables.conditions(), "empty list": c.tables.conditions(concept_ids=[]), "empty frame": c.tables.conditions(nobody)
+    }
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("case"), "n") for name, df in kept.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query
@@ -319,6 +326,87 @@ def csv_arms(c):
     return read_back(c.spark, path, c.arms.schema)
 
 
+@query
+def csv_quoted(c):
+    """Texts with line ends, delimiters and quotes, written and read back."""
+    docs = c.spark.read.parquet(f"{c.folder}/documents.parquet")
+    quoted = docs.select("doc_id", F.replace("text", F.lit("e "), F.lit('e", "')).alias("text"))
+    path = write_csv(quoted, f"{_csv_folder(c)}/quoted.csv")
+    return csv_tables.read_csv_table(c.spark, path, types={"doc_id": "bigint"}, multi_line=True)
+
+
+@query
+def csv_delimited(c):
+    """A vocabulary export with tabs; the reader finds the delimiter."""
+    path = write_csv(c.tables["concept"], f"{_csv_folder(c)}/concept.csv", delimiter="\t")
+    return csv_tables.read_csv_table(c.spark, path, "concept").select("concept_id", "concept_name", "domain_id", "standard_concept")
+
+
+@query
+def csv_dates(c):
+    compact = c.tables["death"].select("person_id", F.date_format("death_date", "yyyyMMdd").alias("death_date"))
+    path = write_csv(compact, f"{_csv_folder(c)}/death.csv")
+    return csv_tables.read_csv_table(c.spark, path, "death").select("person_id", "death_date")
+
+
+@query
+def csv_dropped(c):
+    """Lines left out by reason, of an export with unreadable dates and ids."""
+    spoiled = c.tables["visit_occurrence"].select(
+        F.when(F.col("visit_occurrence_id") % 5 == 0, "x").otherwise(F.col("visit_occurrence_id").cast("string")).alias("visit_occurrence_id"),
+        "person_id",
+        F.when(F.col("visit_occurrence_id") % 3 == 0, "31.31.2000").otherwise(F.col("visit_start_date").cast("string")).alias("visit_start_date"),
+    )
+    path = write_csv(spoiled, f"{_csv_folder(c)}/visit_occurrence.csv")
+    return csv_tables.dropped_lines(c.spark, path, "visit_occurrence").groupBy("reason").agg(F.sum("n").alias("n"))
+
+
+# Concept files
+
+
+def _concept_folder(c) -> str:
+    """Concept files made from the vocabulary: a CSV list, JSON with expansion, features and labs."""
+    folder = _csv_folder(c)
+    known = c.tables["concept"].filter("concept_id < 200")
+    write_csv(known.filter("concept_id % 20 = 5").select(F.col("concept_id").alias("CONCEPT_ID"), "concept_name"), f"{folder}/five_concepts.csv")
+    ids = F.concat_ws(", ", F.sort_array(F.collect_list("concept_id")))
+    features = known.filter("concept_id % 10 < 3").groupBy((F.col("concept_id") % 10).alias("k")).agg(ids.alias("concept_ids"))
+    write_csv(features.select(F.concat(F.lit("f"), "k").alias("Name"), "concept_ids", F.lit('a "quoted", text').alias("description")), f"{folder}/medications.csv")
+    ancestors = known.filter("concept_id in (100, 110)").agg(ids.alias("ids"))
+
+    def save(form: str, name: str) -> None:
+        ancestors.select(F.format_string(form, "ids").alias("value")).coalesce(1).write.text(f"{folder}/{name}")
+
+    save('{"concept_ids": [%s], "include_descendants": true}', "ten_concepts.json")
+    save('{"concepts": [%s]}', "set.json")
+    save('{"lab": [%s]}', "labs.json")
+    return folder
+
+
+def _tagged(c, specs) -> DataFrame:
+    sets = concepts.ConceptSets.resolve(c.spark, c.tables["concept_ancestor"], specs)
+    return sets.tag(events.drug_events(c.tables), *specs).groupBy("set_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def file_drugs(c):
+    return _tagged(c, concept_files.load_drug_specs(c.spark, ["five", "ten", "none"], [_concept_folder(c)]))
+
+
+@query
+def file_features(c):
+    found = concept_files.load_feature_csv(c.spark, f"{_concept_folder(c)}/medications.csv")
+    return _tagged(c, {name: concept_files.ConceptSpec.of(ids) for name, ids in found.items()})
+
+
+@query
+def file_sets(c):
+    folder = _concept_folder(c)
+    labs = concept_files.load_lab_json(c.spark, f"{folder}/labs.json")
+    wanted = {**labs, "set": concept_files.load_concept_set(c.spark, f"{folder}/set.json")}
+    return _tagged(c, {name: concept_files.ConceptSpec.of(ids) for name, ids in wanted.items()})
+
+
 # Cohort, evidence rules
 
 
@@ -492,7 +580,20 @@ def non_users(c):
 
 @query
 def non_users_clean(c):
-    return exposure.non_users(c.base, c.candidates, c.first_use)
+    return exposure.non_users(c.base, c.candidates, exposure.ever_exposed(c.tables, c.sets))
+
+
+@query
+def arms_clean(c):
+    ever = exposure.ever_exposed(c.tables, c.sets)
+    return exposure.label_arms(c.base, c.first_use, c.spans, ever=ever).select("person_id", "user_flag")
+
+
+@query
+def arms_unexposed(c):
+    """Arms of a study in which nobody is exposed."""
+    nobody = exposure.first_exposure(exposure.exposure_events(c.tables, c.sets, "1800-01-01", "1800-12-31"))
+    return exposure.arm_counts(exposure.label_arms(c.base, nobody, c.spans))
 
 
 @query
@@ -805,6 +906,13 @@ def survival_data(c):
     return c.survival()
 
 
+@query
+def survival_uncovered(c):
+    """Index dates moved back, so that many lie before the person's observation period."""
+    people = c.scored.withColumn("index_date", F.date_sub("index_date", 400))
+    return steps.study_survival(c.tables, STUDY, people)
+
+
 @query
 def survival_competing(c):
     return c.survival(competing=True)
@@ -844,15 +952,69 @@ def cox_subgroup(c):
     return rounded(survival.cox_model(c.survival(by=("stratum",)), ("stratum",)), *COX_COLUMNS)
 
 
+@query
+def cox_limits(c):
+    return rounded(survival.cox_model(c.survival()).drop("p_value"), *COX_COLUMNS[:3])
+
+
+@query
+def cox_subgroup_limits(c):
+    fitted = survival.cox_model(c.survival(by=("stratum",)), ("stratum",))
+    return rounded(fitted.drop("p_value"), *COX_COLUMNS[:3])
+
+
+@query
+def ps_gradient(c):
+    """The penalised gradient at the fitted weights, zero at the one optimum of a strictly convex loss."""
+    scaled = propensity.scale(*c.imputed)
+    names = [f"z_{f}" for f in c.imputed[1]]
+    model = propensity.fit_model(scaled, names)
+    off = propensity.add_scores(scaled, model).withColumn("off", F.col("propensity_score") - F.col("treatment"))
+    slopes = [(F.avg(F.col("off") * F.col(n)) + F.lit(model.coefficients[n]) / F.count(F.lit(1))).alias(n) for n in names]
+    wide = off.agg(F.avg("off").alias("intercept"), *slopes)
+    return wide.unpivot([], ["intercept", *names], "feature", "gradient").select("feature", (F.round("gradient", 5) + 0.0).alias("gradient"))
+
+
 # Whole studies
 
 
+@query
+def written_matching(c):
+    """Rows of each matching result, counted in the written files."""
+    balance_rows = balance.standardized_differences(c.matched, FEATURES)
+    paths = write_matching(_csv_folder(c), "trial", c.matched, c.pairs, balance_rows, "parquet")
+    paths["arms"] = save_with_suffix(c.arms, f"{_csv_folder(c)}/arms", "v1", "parquet")
+    counts = [c.spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n, p in paths.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def study_evidence(c):
     result = steps.run_study(c.tables, STUDY)
     return rounded(result.balance, "user_mean", "non_user_mean", "smd")
 
 
+@query
+def study_evidence_balance(c):
+    """Balance before matching in a whole study."""
+    before = steps.run_study(c.tables, STUDY).before_after
+    return rounded(before.select("feature", "smd_before"), "smd_before")
+
+
+@query
+def study_evidence_attrition(c):
+    return steps.run_study(c.tables, STUDY.with_changes(matching_features=())).attrition
+
+
+@query
+def study_windowed_attrition(c):
+    """With the true age at the index date and conditions that must not come before it."""
+    study = WINDOWED_STUDY.with_changes(
+        matching_features=(), true_age_at_index=True, min_age_at_index=30, baseline_exclude=ConceptSpec((30,))
+    )
+    return steps.run_study(c.tables, study).attrition
+
+
 @query
 def study_windowed(c):
     result = steps.run_study(c.tables, WINDOWED_STUDY)

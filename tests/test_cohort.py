@@ -168,7 +168,7 @@ def test_arms(tables, sets, frame):
     assert {p: r.user_flag for p, r in arms.items()} == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
     assert (arms[1].exposure_concept_id, arms[1].days_from_index) == (5, 31)
     assert arms[3].exposure_index_date is None
-    clean = by_id(exposure.label_arms(base, first, spans, exclude_ever_exposed=True))
+    clean = by_id(exposure.label_arms(base, first, spans, ever=first.select("person_id")))
     assert set(clean) == {1, 5}
     candidates = exposure.exposure_candidates(base, first, spans)
     assert set(by_id(exposure.users(base, candidates))) == {1}

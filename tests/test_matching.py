@@ -82,16 +82,15 @@ def test_medians_are_exact(frame):
     rows = [(float(a), float(b), None if i % 3 else i) for i, (a, b) in enumerate(zip(values, skewed))]
     df = frame(rows, "a double, b double, c int")
     want = {"a": np.median(values), "b": np.median(skewed), "c": np.median(np.arange(0, 20_001, 3))}
-    for full in (False, True):
-        assert {r.feature: r["median"] for r in propensity.medians(df, ["a", "b", "c"], full).collect()} == want
+    assert {r.feature: r["median"] for r in propensity.medians(df, ["a", "b", "c"]).collect()} == want
 
 
 @pytest.mark.parametrize("limit", [5, 200])
 def test_brackets_narrow_until_few_rows_are_left(frame, monkeypatch, limit):
     monkeypatch.setattr(propensity, "WINDOW_ROWS", limit)
     calls = []
-    narrower = propensity._narrower
-    monkeypatch.setattr(propensity, "_narrower", lambda *a: calls.append(narrower(*a)) or calls[-1])
+    checked = propensity._checked
+    monkeypatch.setattr(propensity, "_checked", lambda *a: calls.append(checked(*a)) or calls[-1])
     monkeypatch.setattr(propensity, "BRACKET", 0.1)
     rng = np.random.default_rng(11)
     smooth, tied = rng.normal(size=30_000), rng.normal(size=30_000)
@@ -100,10 +99,14 @@ def test_brackets_narrow_until_few_rows_are_left(frame, monkeypatch, limit):
     df = frame([tuple(map(float, r)) for r in zip(smooth, tied, steps)], "a double, b double, c double")
     got = {r.feature: r["median"] for r in propensity.medians(df, ["a", "b", "c"]).collect()}
     assert got == {"a": np.median(smooth), "b": np.median(tied), "c": 1.5}
-    assert calls and {b.feature: b.inside for b in calls[-1]}.get("a", 0) <= limit
+    assert len(calls) > 1
+    ready = {b.feature: b for found, _ in calls for b in found}
+    assert set(ready) == {"a", "b", "c"}
+    for name, values in (("a", smooth), ("b", tied), ("c", steps)):
+        assert np.sum((values > ready[name].low) & (values < ready[name].high)) <= limit
 
 
-def test_a_missed_bracket_is_ranked_in_full(frame, monkeypatch):
+def test_a_missed_bracket_is_opened(frame, monkeypatch):
     # A bracket that cannot hold the middle stands for a sketch outside its bound.
     monkeypatch.setattr(propensity, "BRACKET", -0.3)
     df = frame([(float(i),) for i in range(101)], "a double")
