@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortry.llm import decontaminate, packing, quality, secrets_scan, simhash
+from cohortry.llm import decontaminate, packing, quality, secrets_scan, similarity
 from cohortry.scale import stage
 
 
@@ -21,8 +21,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    return simhash.kept_one_each(docs, words=5)
+    """One document of each group, the one with the smallest id.
+
+    Groups are tied by close fingerprints of five-word shingles, and by a similarity of 0.8 or more of the shingles, at which
+    fingerprints are too far apart for a vantage-point search.
+    """
+    return similarity.kept_one_each(docs, words=5, similarity=0.8)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
