@@ -128,7 +128,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     index = index.select("item_id", "n_words", F.col("bits").alias("item_bits"), F.col("b.block").alias("block"), F.col("b.value").bitwiseXOR(F.col("mask")).alias("value"))
     looked = prints.select("n_words", "words", "bits", F.explode(_block_values("bits")).alias("b")).select("n_words", "words", "bits", "b.block", "b.value")
     distance = F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits"))).cast("int")
-    met = looked.join(index, ["n_words", "block", "value"]).withColumn("distance", distance).where(F.col("distance") <= radius)
+    # The index grows with the benchmark, and its size isn't known before it is made: never broadcast.
+    met = looked.join(index.hint("merge"), ["n_words", "block", "value"]).withColumn("distance", distance).where(F.col("distance") <= radius)
     pairs = met.select("n_words", "words", "item_id", "distance").distinct()
     sides = pairs.join(prints.select("n_words", "words", "shingles"), ["n_words", "words"]).join(items.select("item_id", F.col("shingles").alias("item_shingles")), "item_id")
     shared = _shared("shingles", "item_shingles")
