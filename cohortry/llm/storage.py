@@ -58,14 +58,16 @@ def texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
 
 @contextmanager
 def freed(spark: SparkSession) -> Iterator[None]:
-    """Inside, shuffle files go as soon as the query that made them has ended; what is needed later is staged."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    """Inside, shuffle files go as soon as the query that made them has ended, and staged tables are packed closely."""
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
