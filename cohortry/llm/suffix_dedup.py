@@ -184,14 +184,15 @@ def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int,
 
 
 def _anchor_blocks(parts: int):
-    """Rows (part, docs, prints, hashes, places, owners, sure): anchors of a batch, dealt by hash.
+    """Rows (part, docs, prints, high, low, places, owners, sure): anchors of a batch, dealt by hash.
 
+    48 bits of a hash travel, in two parts; chance matches only bring segments that are then found to differ.
     An anchor in several texts of the batch is surely repeated: all its places are marked so and dealt by document, and one
     more entry with place -1 tells the hash's own part.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["part", "docs", "prints", "hashes", "places", "owners", "sure"]
+        names = ["part", "docs", "prints", "high", "low", "places", "owners", "sure"]
         for rows in _batched(batches):
             # Of equal texts in the batch only the one with the smallest id matters here.
             least: dict[bytes, tuple[int, int]] = {}
@@ -213,8 +214,8 @@ def _anchor_blocks(parts: int):
             low, high = np.minimum.reduceat(docs[owners[order]], edges), np.maximum.reduceat(docs[owners[order]], edges)
             sure = (low != high)[inverse]
             told = order[edges][low != high]
-            part = np.where(sure, docs[owners].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20), hashes >> np.uint64(8)) % np.uint64(parts)
-            all_parts = np.concatenate([part, (hashes[told] >> np.uint64(8)) % np.uint64(parts)])
+            part = np.where(sure, docs[owners].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20), hashes >> np.uint64(16)) % np.uint64(parts)
+            all_parts = np.concatenate([part, (hashes[told] >> np.uint64(16)) % np.uint64(parts)])
             all_hashes = np.concatenate([hashes, hashes[told]])
             all_places = np.concatenate([places, np.full(len(told), -1, np.int32)])
             all_owners = np.concatenate([owners, owners[told]])
@@ -225,8 +226,8 @@ def _anchor_blocks(parts: int):
             for begin, end in zip(cuts, np.append(cuts[1:], len(by_part))):
                 here = by_part[begin:end]
                 own, index = np.unique(all_owners[here], return_inverse=True)
-                out.append((int(all_parts[here[0]]), docs[own].tobytes(), prints[own].tobytes(), all_hashes[here].tobytes(), all_places[here].tobytes(), index.astype(np.uint32).tobytes(), np.packbits(all_sure[here]).tobytes()))
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32()] + [pa.binary()] * 6)], names)
+                out.append((int(all_parts[here[0]]), docs[own].tobytes(), prints[own].tobytes(), (all_hashes[here] >> np.uint64(32)).astype(np.uint32).tobytes(), (all_hashes[here] >> np.uint64(16)).astype(np.uint16).tobytes(), all_places[here].tobytes(), index.astype(np.uint32).tobytes(), np.packbits(all_sure[here]).tobytes()))
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), [pa.int32()] + [pa.binary()] * 7)], names)
 
     return run
 
@@ -239,7 +240,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owners = np.frombuffer(row["owners"], np.uint32)
             docs.append(np.frombuffer(row["docs"], np.int64)[owners])
             prints.append(np.frombuffer(row["prints"], np.int64)[owners])
-            hashes.append(np.frombuffer(row["hashes"], np.uint64))
+            high, low = np.frombuffer(row["high"], np.uint32), np.frombuffer(row["low"], np.uint16)
+            hashes.append(high.astype(np.uint64) << np.uint64(16) | low)
             places.append(np.frombuffer(row["places"], np.int32))
             sure.append(np.unpackbits(np.frombuffer(row["sure"], np.uint8), count=len(owners)).astype(bool))
     if not docs:
@@ -339,7 +341,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     whole = stage(keyed.select("doc", "print", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), F.octet_length("text").alias("n_bytes")))
     firsts = whole.groupBy("sha").agg(F.min("doc").alias("least"))
     copies = stage(whole.join(firsts, "sha").where((F.col("doc") > F.col("least")) & (F.col("n_bytes") >= LENGTH)).select("doc", "print").distinct())
-    blocks = keyed.mapInArrow(_anchor_blocks(parts), "part int, docs binary, prints binary, hashes binary, places binary, owners binary, sure binary")
+    blocks = keyed.mapInArrow(_anchor_blocks(parts), "part int, docs binary, prints binary, high binary, low binary, places binary, owners binary, sure binary")
     kept = blocks.repartition(parts, "part").mapInArrow(_repeated, "doc long, print long, place int")
     places = kept.groupBy("doc", "print").agg(F.collect_list("place").alias("places")).join(copies, ["doc", "print"], "left_anti")
     anchored = keyed.join(places, ["doc", "print"]).select("doc", "print", "text", "places")
