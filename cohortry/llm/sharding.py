@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from cohortry.scale import local_frame, stage
 
+from .storage import ship
+
 #: Ranges per shard at least, the rows a range should not exceed by much, and draws per range.
 RANGES, RANGE_ROWS, DRAWS = 64, 500_000, 24
 #: A range this many times the mean is subdivided.
@@ -34,6 +36,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     A null text has no bytes. ``place`` spreads the rows of a group and orders them; documents without an id share one place.
     """
+    ship(docs.sparkSession)
     data = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(data) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"),

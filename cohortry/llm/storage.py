@@ -6,9 +6,12 @@ that Spark committed are ever read, so a lost or repeated task leaves an unused
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import pyarrow as pa
 from pyarrow import fs
@@ -18,6 +21,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cohortry.scale import staging_root
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a session; they may run where it isn't installed."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    target = f"{tempfile.mkdtemp(prefix='cohortry-')}/cohortry_package.zip"
+    with zipfile.ZipFile(target, "w") as packed:
+        for path in sorted(root.rglob("*.py")):
+            packed.write(path, path.relative_to(root.parent))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A new folder name below the shared folder; tasks create it when they write."""
     return f"{staging_root(spark).rstrip('/')}/cohortry/{kind}-{uuid.uuid4().hex}"
@@ -53,6 +72,7 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
 
 def texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Only the id and the text, null texts as empty ones: other columns, whatever their names, can't interfere."""
+    ship(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortry.scale import stage
 
-from .storage import freed, rows_in_slices
+from .storage import freed, rows_in_slices, ship
 
 LENGTH, GRAM = 50, 20
 #: Anchors a string can have: grams in it.
@@ -165,6 +165,7 @@ def earliest(segments: list[bytes], firsts: np.ndarray) -> list[np.ndarray]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """(doc, print, text): documents without an id count as later than all others."""
+    ship(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("print"), text.alias("text"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortry.scale import local_frame, stage
 
-from .storage import attempt_name, create, new_folder, opened, rows_in_slices, spread, texts
+from .storage import attempt_name, create, new_folder, opened, rows_in_slices, ship, spread, texts
 from .tokens import encoder
 
 MAGIC = b"TOKBITS1"
@@ -190,4 +190,5 @@ def read_token_files(files: DataFrame, with_ids: bool = True) -> DataFrame:
 
     names = ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids
     schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names)
+    ship(files.sparkSession)
     return spread(files, files.count()).mapInArrow(read, schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortry.scale import local_frame, stage
 
-from .storage import attempt_name, create, new_folder, opened, rows_in_slices, spread
+from .storage import attempt_name, create, new_folder, opened, rows_in_slices, ship, spread
 
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -78,6 +78,7 @@ def with_originals(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     back is one that adaptive execution splits where one payload is very common. Pages without an id
     refer to the largest id of their payload; without any such id they are responses.
     """
+    ship(pages.sparkSession)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
@@ -285,6 +286,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield table(rows)
 
+    ship(files.sparkSession)
     return spread(files.select("path"), files.count()).mapInArrow(read, READ)
 
 
