@@ -4,7 +4,7 @@ import corpus_pipeline
 from cohortry.llm import quality
 from cohortry.scale import stage
 
-from . import test_decontaminate, test_quality, test_secrets, test_similarity, test_simhash, test_tokens
+from . import test_decontaminate, test_secrets, test_similarity, test_simhash, test_tokens
 from .conftest import FOLDER
 
 
@@ -13,8 +13,6 @@ def rows(df):
 
 
 def fingerprint_ties(docs):
-    import numpy as np
-
     from cohortry.llm.simhash import fingerprint, shingle_hashes
 
     prints = [fingerprint(shingle_hashes(t or "", 5)) for _, t in docs]
