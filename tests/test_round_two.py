@@ -1,7 +1,6 @@
 """CSV dialect, rules over all time, estimates that exist, plans without sorts, and sectioned studies."""
 
 import datetime
-import json
 from pathlib import Path
 
 import numpy as np
