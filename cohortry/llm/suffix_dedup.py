@@ -9,6 +9,7 @@
 3. Different segments of one anchor meet in one task. A suffix array over them is built by two-stage sorting: only suffixes smaller
    than their successors are sorted directly, all others follow from scanning the buckets in order. Adjacent
    common prefixes of 50 bytes or more then give the smallest document of each string.
+   Segments of an anchor that has very many are parted instead: each of their strings is a group of its own.
 4. Each document's strings with a smaller document are joined to spans and cut out.
 
 Exact copies of a text are resolved beforehand by their checksum.
@@ -34,6 +35,8 @@ REACH = LENGTH - GRAM + 1
 #: Bytes of text a map step collapses together, and of segments that one suffix array holds (about 150 MB of arrays).
 BATCH_BYTES, ARRAY_BYTES = 8 << 20, 1 << 20
 NO_ID = 2**63 - 1
+#: An anchor with more segments than this, such as the edge of a very common line, is parted string by string.
+MEET = 5_000
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -334,6 +337,15 @@ def _sorted_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield solved(groups, owners)
 
 
+def _by_string(segments: DataFrame) -> DataFrame:
+    """The same answer as ``_sorted_segments`` for anchors with very many segments, from a grouping by string, which spreads."""
+    places = F.explode(F.sequence(F.lit(0), F.octet_length("segment") - LENGTH)).alias("since")
+    strings = segments.select("anchor", "mark", "segment", "first", places).select("anchor", "mark", "since", F.substring("segment", F.col("since") + 1, F.lit(LENGTH)).alias("string"), "first")
+    least = strings.groupBy("string").agg(F.min("first").alias("least"))
+    found = strings.select("anchor", "mark", "since", "string").distinct().join(least, "string")
+    return found.select("anchor", "mark", F.col("since").cast("int").alias("since"), (F.col("since") + 1).cast("int").alias("until"), F.col("least").alias("first"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc, print, copy, spans): texts with something to remove; ``copy`` where the whole text is one of an earlier document."""
     spark = docs.sparkSession
@@ -348,8 +360,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     anchored = keyed.join(places, ["doc", "print"]).select("doc", "print", "text", "places")
     with freed(spark):
         segments = stage(anchored.mapInArrow(_segments, "doc long, print long, begin int, anchor long, mark long, segment binary, first long"))
-        own = segments.where(F.col("segment").isNotNull()).select("anchor", "segment", "first")
-        least = stage(own.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_segments, "anchor long, mark long, since int, until int, first long"))
+        own = segments.where(F.col("segment").isNotNull()).select("anchor", "mark", "segment", "first")
+        many = stage(own.groupBy("anchor").agg(F.count("anchor").alias("n")).where(F.col("n") > MEET).select("anchor"))
+        few = own.drop("mark").join(many, "anchor", "left_anti").repartition(parts, "anchor").sortWithinPartitions("anchor")
+        sorted_ = few.mapInArrow(_sorted_segments, "anchor long, mark long, since int, until int, first long")
+        least = stage(sorted_.unionByName(_by_string(own.join(many, "anchor", "left_semi"))))
     places = segments.select("doc", "print", "begin", "anchor", "mark").join(least, ["anchor", "mark"]).where("first < doc")
     span = F.struct((F.col("begin") + F.col("since")).alias("since"), (F.col("begin") + F.col("until") - 1 + LENGTH).alias("until"))
     spans = places.groupBy("doc", "print").agg(F.collect_set(span).alias("spans")).select("doc", "print", F.lit(False).alias("copy"), "spans")

@@ -60,6 +60,15 @@ def test_documents(spark):
     check(queries.op6_suffix_dedup(spark, FOLDER), docs)
 
 
+def test_anchors_with_many_segments_are_parted(spark, monkeypatch):
+    monkeypatch.setattr(D, "MEET", 3)
+    chance = np.random.default_rng(1)
+    word = lambda n: "".join(chance.choice(list("abcdefgh "), n))
+    line = word(90)
+    docs = [(i, word(70) + line + word(60)) for i in range(30)] + [(i, word(30) + line[:60] + word(40) + line[20:]) for i in range(30, 40)]
+    check(D.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")), docs)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     chance = np.random.default_rng(8)
     base = ["".join(chance.choice(list("abcdé \n"), n)) for n in (49, 50, 51, 120, 400)]
