@@ -1,7 +1,7 @@
 """Scores of texts under a two-level n-gram trie, trained on the corpus by Spark and searched in memory-mapped files.
 
 Level 1 holds every training token: a sorted sequence of 64-bit word hashes; a word's id is its place. Level 2 holds the
-pairs seen ``LEAST`` times or more: the sequence of context id * V + word id, which is monotone, so the pairs of
+pairs seen ``LEAST`` times or more, that is all: the sequence of context id * V + word id, which is monotone, so the pairs of
 a context are its successors, searched relative to it. Both are Elias-Fano coded. A pair carries the
 discounted probability (count - DISCOUNT) / count of its context, rounded down to one of 255 steps; what a context doesn't
 spend on its pairs weighs the probability of the word alone:
@@ -28,7 +28,7 @@ from cohortry.scale import stage
 from .elias_fano import Sorted, write_sorted
 from .storage import attempt_name, create, freed, new_folder, rows_in_slices, texts
 
-LEAST, DISCOUNT = 2, 0.75
+LEAST, DISCOUNT = 1, 0.75
 #: Tokens a map step counts together, and bytes of text it splits at once.
 BATCH_TOKENS, BATCH_BYTES = 4_000_000, 4 << 20
 #: The end of a text, also the context of its first word; words hold no blank.

@@ -97,3 +97,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert L.scored(no_docs, L.trained(no_docs)).collect() == []
     rows = L.scored(odd_docs, L.trained(no_docs)).collect()
     assert len(rows) == len(docs) and all(r.train_tokens == 0 and r.score == 0 == r.base_score for r in rows)
+
+
+def test_a_pair_seen_once_counts(spark):
+    docs = [(i, t) for i, t in enumerate(["red fox", "red hen", "old fox", "old hen", "new cat"])]
+    train = [(d, t) for d, t in docs if not out(d)]
+    pairs = Counter(p for _, t in train for p in zip([None, *tokens(t)], tokens(t)))
+    once = next(p for p, k in pairs.items() if k == 1 and p[0] is not None and p[1] is not None)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    count = Counter(w for _, t in train for w in tokens(t))
+    model = L.trained(frame)
+    _, alone, after, _ = L.token_scores(model, [" ".join(once)])
+    share = (1 - L.DISCOUNT) / count[once[0]]
+    assert 10 ** after[1] > 10 ** alone[1] and 10 ** after[1] >= 0.9 * share
