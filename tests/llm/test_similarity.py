@@ -58,3 +58,22 @@ def test_one_stays(spark, odd_docs, no_docs):
     ids = sorted(r.doc_id for r in kept.where("doc_id is not null").collect())
     assert ids == [1, 3, 6, 8, 9] and kept.where("doc_id is null").count() == 1
     assert S.kept_one_each(no_docs).collect() == []
+
+
+def same_groups(got, want):
+    return all(got[d] == got[w] for d, w in want.items()) and all(want[d] == want[c] for d, c in got.items())
+
+
+def family(chance, texts, planted):
+    """Texts that share 83% of their shingles, so that two of them have a similarity of 0.71; the last ``planted`` are copies with other ends."""
+    template = [f"t{i}" for i in chance.integers(0, 5000, 170)]
+    own = [[f"u{i}" for i in chance.integers(0, 10**9, 34)] for _ in range(texts)]
+    own += [[*o[:-2], "other", f"end{k}"] for k, o in enumerate(own[:planted])]
+    return [(k, " ".join(template + o)) for k, o in enumerate(own)]
+
+
+def test_pairs_in_a_family_with_a_template(spark):
+    docs = family(np.random.default_rng(6), 160, 60)
+    got = {r.doc_id: r.component_id for r in S.linked(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = brute(docs)
+    assert len(set(want.values())) == 160 and same_groups(got, want)
