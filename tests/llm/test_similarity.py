@@ -77,3 +77,15 @@ def test_pairs_in_a_family_with_a_template(spark):
     got = {r.doc_id: r.component_id for r in S.linked(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     want = brute(docs)
     assert len(set(want.values())) == 160 and same_groups(got, want)
+
+
+def test_blocks_and_chunks_change_nothing(spark, monkeypatch):
+    docs = family(np.random.default_rng(7), 60, 20)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(S, "BLOCK", 4)
+    got = {r.doc_id: r.component_id for r in S.linked(frame).collect()}
+    assert same_groups(got, brute(docs))
+    order = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    classes = S.sketches(frame, 5, 0.8, order).selectExpr("shingles", "shingles as label", "size", "prefix")
+    pairs = [{tuple(r) for r in S.crossing(classes, 0.8, chunk).collect()} for chunk in (3, 10**6)]
+    assert pairs[0] == pairs[1] and len(pairs[0]) >= 20
