@@ -13,7 +13,7 @@ of the larger).
    indexed under all values that near, and a window looks up its four blocks: every pair within the radius is met.
 3. Of the pairs met within the radius, the weighted similarity decides.
 
-Items with fewer than five words are one shingle, all their words. DataFrame operations only.
+Items with fewer than five words are one shingle, all their words, and are found only in a document that equals them, not in a longer one. DataFrame operations only.
 """
 
 from __future__ import annotations
