@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import check_sql, decontaminate, language_model, merkle, packing, quality, secrets_scan, sharding, simhash, suffix_dedup, token_files, warc
+from . import check_sql, conversations, decontaminate, language_model, merkle, packing, quality, secrets_scan, sharding, simhash, suffix_dedup, token_files, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.scored(docs, language_model.trained(docs))
 
 
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.audited(table(spark, folder, "conversations"))
+
+
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.proofs(table(spark, folder, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_language_model": op10_language_model,
+    "op12_conversations": op12_conversations,
     "op13_merkle": op13_merkle,
 }
 SQL: dict[str, str] = check_sql.SQL
