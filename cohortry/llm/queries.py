@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import check_sql, conversations, decontaminate, language_model, merkle, packing, quality, secrets_scan, sharding, simhash, suffix_dedup, token_files, warc
+from . import check_sql, conversations, decontaminate, language_model, merkle, packing, quality, secrets_scan, sharding, simhash, suffix_dedup, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.scored(docs, language_model.trained(docs))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.trained(docs, table(spark, folder, "labels")))
+
+
 def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.audited(table(spark, folder, "conversations"))
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_token_files": op9_token_files,
     "op10_language_model": op10_language_model,
+    "op11_toxicity": op11_toxicity,
     "op12_conversations": op12_conversations,
     "op13_merkle": op13_merkle,
 }
