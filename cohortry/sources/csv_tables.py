@@ -8,9 +8,10 @@ from posixpath import basename
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .quoted_csv import quoted_records, split_states
 from .schemas import CONCEPT_COLUMN, TABLE_TYPES
 
-BAD_LINE = "_bad_line"
+BAD_LINE, FILE = "_bad_line", "_file"
 DELIMITERS = (",", "\t", ";", "|")
 #: Patterns besides the ISO forms that a cast reads.
 DATE_PATTERNS = {"date": ("yyyyMMdd", "yyyy/MM/dd"), "timestamp": ("yyyyMMdd", "yyyyMMdd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd")}
@@ -28,6 +29,12 @@ def csv_options(delimiter: str = ",", multi_line: bool = False) -> dict[str, str
     return {"header": True, "sep": delimiter, "quote": '"', "escape": '"', "multiLine": multi_line}
 
 
+def parsed(record: Column, schema: str, options: Mapping[str, str | bool]) -> Column:
+    """A struct of the record's fields; every field is parsed, so that records with a wrong number of them are told."""
+    given = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "header"}
+    return F.from_csv(record, schema, {**given, "columnPruning": "false", "columnNameOfCorruptRecord": BAD_LINE})
+
+
 def resolve_path(base: str, path: str) -> str:
     """``path`` itself when absolute or a URI, else below ``base``."""
     if path.startswith("/") or "://" in path:
@@ -76,7 +83,7 @@ def _with_types(raw: DataFrame, types: Mapping[str, str]) -> tuple[list[Column],
     """Typed columns, and per declared column whether its text is readable."""
     columns, readable = [], {}
     for name in raw.columns:
-        if name == BAD_LINE:
+        if name in (BAD_LINE, FILE):
             continue
         key = name.lower()
         kind = types.get(key, "string")
@@ -96,21 +103,22 @@ def _with_types(raw: DataFrame, types: Mapping[str, str]) -> tuple[list[Column],
 
 
 def _raw_lines(
-    spark: SparkSession, paths: list[str], types: Mapping[str, str], delimiter: str | None, multi_line: bool
+    spark: SparkSession, paths: list[str], types: Mapping[str, str], delimiter: str | None, multi_line: bool | None
 ) -> tuple[DataFrame, Column]:
-    """All lines as text, and whether a line has as many fields as the header."""
-    options = csv_options(delimiter or detect_delimiter(spark, paths[0]), multi_line)
+    """All lines as text with their file, and whether a line has as many fields as the header."""
+    states = None if multi_line is False else split_states(spark, paths)
+    cut = states is not None and (multi_line or bool(states.agg(F.sum("odd")).first()[0]))
+    options = csv_options(delimiter or detect_delimiter(spark, paths[0]), cut)
     header = spark.read.options(**options).csv(paths[0]).columns
     if types and not {h.lower() for h in header} & set(types):
         raise ValueError(f"{paths[0]}: none of the expected columns in the header {header}; is the delimiter {options['sep']!r} right?")
     schema = ", ".join(f"`{c}` string" for c in [*header, BAD_LINE])
-    raw = (
-        spark.read.schema(schema)
-        .options(**options)
-        .option("enforceSchema", False)
-        .option("columnNameOfCorruptRecord", BAD_LINE)
-        .csv(paths)
-    )
+    if cut:
+        records = quoted_records(spark, paths, header, options["sep"], states)
+        raw = records.select(F.col("path").alias(FILE), parsed(F.col("record"), schema, options).alias("r")).select("r.*", FILE)
+    else:
+        lines = spark.read.schema(schema).options(**options).option("enforceSchema", False).option("columnNameOfCorruptRecord", BAD_LINE).csv(paths)
+        raw = lines.withColumn(FILE, F.col("_metadata.file_path"))
     # A wrong field count is only noticed when every column is parsed. The length test is always
     # true but names them all, so bad lines go whatever columns the query selects.
     all_parsed = F.length(F.coalesce(*[F.col(f"`{c}`") for c in header], F.lit(""))) >= 0
@@ -118,7 +126,7 @@ def _raw_lines(
 
 
 def _read_same_header(
-    spark: SparkSession, paths: list[str], types: Mapping[str, str], delimiter: str | None, multi_line: bool
+    spark: SparkSession, paths: list[str], types: Mapping[str, str], delimiter: str | None, multi_line: bool | None
 ) -> DataFrame:
     raw, whole = _raw_lines(spark, paths, types, delimiter, multi_line)
     columns, readable = _with_types(raw, types)
@@ -132,12 +140,13 @@ def read_csv_table(
     types: Mapping[str, str] | None = None,
     union_by_name: bool = False,
     delimiter: str | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """A CSV table with a header, lower-case column names and declared types.
 
-    Quoted values may hold delimiters and doubled quotes, with ``multi_line`` also line ends (a file is
-    then read by one task). Without ``delimiter`` the header line tells it. Dates may be ISO or YYYYMMDD.
+    Quoted values may hold delimiters, doubled quotes and line ends. One pass counts quotes; where a line has an odd
+    number, records are cut in splits (``quoted_csv``), else lines are records. ``multi_line`` True or False
+    settles that beforehand; False saves the pass. Without ``delimiter`` the header line tells it. Dates may be ISO or YYYYMMDD.
     Lines with a wrong field count or a value that does not fit its declared type are dropped;
     ``dropped_lines`` counts them. A header without any declared column is an error.
     Files read together must share a header; with ``union_by_name`` each file may have its own
@@ -157,7 +166,7 @@ def dropped_lines(
     table: str | None = None,
     types: Mapping[str, str] | None = None,
     delimiter: str | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """``(file, reason, n)`` of the lines ``read_csv_table`` leaves out: ``field count``, or the first unreadable column."""
     files = [paths] if isinstance(paths, str) else list(paths)
@@ -168,7 +177,7 @@ def dropped_lines(
         reason = F.when(~whole, "field count")
         for name, fine in _with_types(raw, wanted)[1].items():
             reason = reason.when(~fine, name)
-        parts.append(raw.select(F.col("_metadata.file_path").alias("file"), reason.alias("reason")).filter("reason IS NOT NULL"))
+        parts.append(raw.select(F.col(FILE).alias("file"), reason.alias("reason")).filter("reason IS NOT NULL"))
     return reduce(DataFrame.union, parts).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -179,7 +188,7 @@ def convert_to_parquet(
     tables: Iterable[str] | None = None,
     union_by_name: bool = False,
     delimiter: str | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> dict[str, str]:
     """Convert every discovered table once; returns table -> Parquet path.
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from .csv_tables import csv_options
+from .csv_tables import csv_options, parsed
+from .quoted_csv import quoted_records
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", delimiter: str = ",") -> str:
@@ -28,10 +29,13 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",") -> str:
 def read_back(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "csv") -> DataFrame:
     """A written result with its types; CSV columns are matched by position as they were written.
 
-    Texts with line ends are read only in multi-line mode, which every reader of this package offers.
+    Texts may hold line ends; part files are read in splits all the same. An empty text was written in quotes and comes back empty.
     """
-    reader = spark.read.schema(schema)
-    return reader.options(**csv_options(multi_line=True)).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    records = quoted_records(spark, [path], None)
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return records.select(parsed(F.col("record"), ddl, {**csv_options(multi_line=True), "nullValue": "\0"}).alias("r")).select("r.*")
 
 
 def save_with_suffix(df: DataFrame, base: str, suffix: str | None = None, fmt: str = "csv") -> str:

@@ -332,7 +332,7 @@ def csv_quoted(c):
     docs = c.spark.read.parquet(f"{c.folder}/documents.parquet")
     quoted = docs.select("doc_id", F.replace("text", F.lit("e "), F.lit('e", "')).alias("text"))
     path = write_csv(quoted, f"{_csv_folder(c)}/quoted.csv")
-    return csv_tables.read_csv_table(c.spark, path, types={"doc_id": "bigint"}, multi_line=True)
+    return csv_tables.read_csv_table(c.spark, path, types={"doc_id": "bigint"})
 
 
 @query

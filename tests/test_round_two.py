@@ -35,7 +35,8 @@ def test_quotes_delimiters_and_line_ends(spark, folder):
     assert [tuple(r) for r in rows] == [
         (1, "plain", "a"), (2, 'say "hi", twice', "b"), (3, 'x "y" z', "c"), (4, "two\nlines", "d"), (5, None, "e")
     ]
-    single = csv_tables.read_csv_table(spark, path, types=kinds).collect()
+    assert csv_tables.read_csv_table(spark, path, types=kinds).collect() == rows
+    single = csv_tables.read_csv_table(spark, path, types=kinds, multi_line=False).collect()
     assert [r.id for r in single] == [1, 2, 3, 5]
     for delimiter in "\t;|":
         other = save(folder, f"d{ord(delimiter)}.csv", text.replace("two\nlines", "two").replace(",", delimiter))
