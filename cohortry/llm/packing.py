@@ -12,9 +12,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .storage import rows_in_slices, texts
+from .storage import byte_slices, texts
 from .tokens import encoder
 
 WINDOW = 4096
@@ -75,26 +75,26 @@ def tokenized_pieces(docs: DataFrame, path: str, end_id: int, window: int = WIND
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
-        for batch in rows_in_slices(batches):
-            rows: list[tuple] = []
-            for doc, ids in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist())):
-                ids += end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    piece = ids[4 * start : 4 * (start + window)]
-                    rows.append((doc, start, len(piece) // 4, total, piece))
-            columns = list(zip(*rows))
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "start", "length", "doc_tokens", "ids"])
+        encoding = encoder(path)
+        for batch in byte_slices(batches):
+            ids, edges = encoding.encode_ended(batch["text"], end_id)
+            totals = np.diff(edges)
+            counts = -(-totals // window)
+            owner = np.repeat(np.arange(len(totals)), counts)
+            start = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * window
+            length = np.minimum(window, totals[owner] - start)
+            # Pieces lie one after the other, so their bytes are one buffer.
+            data = pa.BinaryArray.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer((4 * np.append(0, np.cumsum(length))).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+            yield pa.record_batch([batch["doc_id"].take(pa.array(owner)), pa.array(start), pa.array(length), pa.array(totals[owner]), data], ["doc_id", "start", "length", "doc_tokens", "ids"])
 
     return texts(docs).mapInArrow(cut, PIECES)
 
 
-def packed(pieces: DataFrame, shards: int, window: int = WINDOW) -> DataFrame:
+def packed(pieces: DataFrame, shards: int, window: int = WINDOW, *more: Column) -> DataFrame:
     """``pieces`` with sequence_id and offset; all its columns stay.
 
-    Needs doc_id, start and length (1 to ``window``). Repeated rows are packed each on its own. The
+    Needs doc_id, start and length (1 to ``window``); ``more`` tells pieces of equal id and start apart, so that rows without an id
+    or of one id spread over shards. Repeated rows are packed each on its own. The
     sequence id is the shard's number times 2**32 plus the window's number in the shard; equal input
     gives equal windows whatever order the shuffle delivers. No rows give no rows.
     """
@@ -130,16 +130,16 @@ def packed(pieces: DataFrame, shards: int, window: int = WINDOW) -> DataFrame:
                 yield named(batch, base + full + here[:, 0], here[:, 1])
                 seen += batch.num_rows
 
-    dealt = pieces.repartition(max(1, shards), F.xxhash64("doc_id", "start"))
+    dealt = pieces.repartition(max(1, shards), F.xxhash64("doc_id", "start", *more))
     return dealt.mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int, window: int = WINDOW, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Every piece of every document with its ids, its sequence and its offset there."""
-    return packed(tokenized_pieces(docs, path, end_id, window), -(-docs.count() // shard_docs), window)
+    return packed(tokenized_pieces(docs, path, end_id, window), -(-docs.count() // shard_docs), window, F.crc32("ids"))
 
 
 def packing_digest(docs: DataFrame, path: str, end_id: int, window: int = WINDOW, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """As ``pack_documents``, but with a checksum in place of the ids, taken before the shuffle."""
-    pieces = tokenized_pieces(docs, path, end_id, window).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packed(pieces, -(-docs.count() // shard_docs), window)
+    pieces = tokenized_pieces(docs, path, end_id, window).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packed(pieces, -(-docs.count() // shard_docs), window, F.col("ids_crc32"))

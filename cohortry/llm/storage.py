@@ -13,7 +13,9 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -65,6 +67,18 @@ def rows_in_slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterat
             yield batch.slice(at, rows)
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of about so many bytes of text; a longer text is a slice of its own."""
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+        at = 0
+        while at < batch.num_rows:
+            done = sizes[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(sizes, done + limit, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def spread(df: DataFrame, rows: int) -> DataFrame:
     """One row a partition, for a list of files as long as the number of tasks that wrote it."""
     return df.repartition(max(1, rows), F.rand(7)) if rows > 1 else df.coalesce(1)

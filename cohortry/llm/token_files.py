@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortry.scale import local_frame, stage
 
-from .storage import attempt_name, create, new_folder, opened, rows_in_slices, ship, spread, texts
+from .storage import attempt_name, byte_slices, create, new_folder, opened, ship, spread, texts
 from .tokens import encoder
 
 MAGIC = b"TOKBITS1"
@@ -140,25 +140,27 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, block: int = BLOC
     """Writes all documents in ascending doc_id order; one row per file: path, first (ids in the files before it), n_docs, n_tokens.
 
     Documents are range-partitioned by id, and each range becomes one file. A null or empty text is the
-    end id alone; documents without an id come first; repeated ids are written one after the other.
+    end id alone; documents without an id come first; of equal ids the text's hash decides.
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "token-files")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, end, writer, uri = encoder(path), np.array([end_id], np.uint32), None, ""
-        for batch in rows_in_slices(batches):
+        encoding, writer, uri = encoder(path), None, ""
+        for batch in byte_slices(batches):
             if writer is None and batch.num_rows:
                 uri = attempt_name(folder, ".tok")
                 writer = TokenWriter(uri, bits_for(max(encoding.vocabulary, end_id + 1)), block)
-            for doc, ids in zip(batch["doc_id"].to_pylist(), encoding.encode(batch["text"].to_pylist())):
-                writer.add(doc, np.append(np.frombuffer(ids, "<u4"), end))
+            ids, edges = encoding.encode_ended(batch["text"], end_id)
+            for doc, since, until in zip(batch["doc_id"].to_pylist(), edges[:-1].tolist(), edges[1:].tolist()):
+                writer.add(doc, ids[since:until])
         if writer is not None:
             writer.close()
             yield pa.record_batch([[uri], [len(writer.docs)], [writer.total]], ["path", "n_docs", "n_tokens"])
 
-    ordered = texts(docs).repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = texts(docs).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     files = stage(ordered.mapInArrow(write, "path string, n_docs long, n_tokens long"))
     # One row per writing task comes to the driver; names begin with the range's number.
     listed = sorted((r for r in files.collect()), key=lambda r: r.path)

@@ -1,10 +1,9 @@
 """Token ids of whole texts by the ``tokenizers`` library, one library call per distinct word.
 
 Both public vocabularies split text before merging, and never join what stands before white space with
-what stands behind it. So a text is cut where white space begins, each distinct piece is encoded once
-per worker, and the ids of a text are the pieces' ids in order. Texts for which that isn't certain (they
-hold a special token's string, or control characters that Python and the library class differently)
-are encoded whole.
+what stands behind it. So texts are cut where ASCII white space begins, all at once on their bytes; Arrow numbers the distinct pieces of
+a batch, new ones are encoded and remembered, and the ids of all texts are gathered by offsets. Texts for which that isn't certain (they
+hold a special token's string, or white space and control characters beyond ASCII) are encoded whole.
 """
 
 from __future__ import annotations
@@ -13,15 +12,23 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces a worker remembers, and the longest remembered one: about 200 MB.
-REMEMBERED, LONGEST = 700_000, 48
-SPACED = re.compile(r"\s*\S+|\s+")
-CONTROLS = re.compile("[\x1c-\x1f]")
+#: Pieces, and ids of them, that a worker remembers: about 200 MB.
+REMEMBERED, REMEMBERED_IDS = 700_000, 8_000_000
+SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+UNSURE = "\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def spread_ids(ids: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` that begin at ``at``, one after the other."""
+    ends = np.cumsum(sizes)
+    return ids[np.repeat(at - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 class WordEncoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
+    """``encode(column)`` gives the ids of all texts in order, and where each text's begin (one more entry at the end)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -29,34 +36,71 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size()
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.pieces = SPACED.findall if self._ids([" \n"])[0] else str.split
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, cut, whole = self.known, [], []
-        for at, text in enumerate(texts):
-            if CONTROLS.search(text) or any(s in text for s in self.special):
-                whole.append(at)
-                cut.append(())
-            else:
-                cut.append(self.pieces(text))
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        once: dict[str, bytes] = {}
-        for piece, ids in zip(new, self._ids(new)):
-            (known if len(piece) <= LONGEST else once)[piece] = ids
-        if once:
-            out = [b"".join([known[p] if p in known else once[p] for p in pieces]) for pieces in cut]
-        else:
-            out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        for at, ids in zip(whole, self._ids([texts[i] for i in whole])):
-            out[at] = ids
-        return out
+        special = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.unsure = "|".join([f"[{UNSURE}]", *special])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.at, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _library_ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of pieces, new ones included."""
+        known = self.known
+        new = [p for p in pieces if p not in known]
+        if new:
+            found = self._library_ids(new)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            total, first = int(sizes.sum()), len(known)
+            while len(self.at) < first + len(new):
+                self.at, self.sizes = np.resize(self.at, 2 * len(self.at)), np.resize(self.sizes, 2 * len(self.sizes))
+            while len(self.ids) < self.used + total:
+                self.ids = np.resize(self.ids, 2 * len(self.ids))
+            self.ids[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
+            self.sizes[first : first + len(new)] = sizes
+            self.at[first : first + len(new)] = self.used + np.cumsum(sizes) - sizes
+            self.used += total
+            known.update(zip(new, range(first, first + len(new))))
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > REMEMBERED or self.used > REMEMBERED_IDS:
+            self._forget()
+        unsure = pc.match_substring_regex(column, self.unsure)
+        whole = np.flatnonzero(unsure.to_numpy(zero_copy_only=False))
+        plain = pc.if_else(unsure, "", column) if len(whole) else column
+        edges = np.frombuffer(plain.buffers()[1], np.int32)[plain.offset : plain.offset + len(plain) + 1].astype(np.int64)
+        data = np.frombuffer(plain.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+        edges -= edges[0]
+        begins = SPACES[data]
+        begins[1:] &= ~begins[:-1]
+        begins[edges[:-1][edges[:-1] < edges[1:]]] = True
+        at = np.flatnonzero(begins)
+        offsets = np.append(at, len(data)).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = self.sizes[number]
+        ids = spread_ids(self.ids, self.at[number], sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(at, edges)]
+        if not len(whole):
+            return ids, ends
+        parts, lengths, last = [], np.diff(ends), 0
+        for i, found in zip(whole.tolist(), self._library_ids(column.take(pa.array(whole)).to_pylist())):
+            parts += [ids[last : ends[i]], np.array(found, np.uint32)]
+            lengths[i], last = len(found), ends[i]
+        return np.concatenate([*parts, ids[last:]]), np.concatenate([[0], np.cumsum(lengths)])
+
+    def encode_ended(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, with ``end_id`` behind each text."""
+        ids, edges = self.encode(column)
+        nth = np.arange(len(column))
+        out = np.full(len(ids) + len(column), end_id, np.uint32)
+        out[np.arange(len(ids)) + np.repeat(nth, np.diff(edges))] = ids
+        return out, edges + np.arange(len(column) + 1)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

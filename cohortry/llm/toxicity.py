@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import texts
+from .storage import byte_slices, texts
 
 WINDOW, STRIDE = 64, 32
 SAMPLE, LONGEST, VOCABULARY = 1_500, 65_536, 6_000
@@ -32,26 +32,14 @@ GRAMS = (3, 5, 7)
 EMBED, HIDDEN = 8, 8
 ROUNDS, BATCH, STEP, DECAY = 6, 128, 4e-3, 1e-4
 TOXIC_FROM = 0.7
-#: Bytes of text handled at once, words whose grams are looked up at once, windows in one pass.
-SLICE, WORDS, PASS = 4 << 20, 16_384, 2_048
+#: Words whose grams are looked up at once, windows in one pass.
+WORDS, PASS = 16_384, 2_048
 _BITS = 20
 
 
 # Words and grams
 
 
-def byte_slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Slices of about so many bytes of text; a longer text is a slice of its own."""
-    for batch in batches:
-        sizes = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
-        at = 0
-        while at < batch.num_rows:
-            done = sizes[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(sizes, done + limit, "right")))
-            yield batch.slice(at, end - at)
-            at = end
-
-
 def split_words(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Word numbers of all texts in order, the different words, and where each text begins (one more entry at the end)."""
     plain = pc.utf8_trim_whitespace(pc.replace_substring_regex(pc.utf8_lower(column), r"[^\pL\pM\pN]+", " "))

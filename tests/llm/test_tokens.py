@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -26,7 +27,9 @@ def library_ids(path, text, end):
 @settings(max_examples=400, deadline=None)
 def test_pieces_give_the_ids_of_the_whole_text(path, text):
     cached, library = ENCODERS[path]
-    assert np.frombuffer(cached.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    whole = [text, "", f"x {text}", text[::-1]]
+    ids, edges = cached.encode(pa.array(["cut off", *whole])[1:])
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [library.encode(t, add_special_tokens=False).ids for t in whole]
 
 
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=200))
