@@ -17,6 +17,9 @@ import pyarrow.compute as pc
 
 #: Pieces, and ids of them, that a worker remembers: about 200 MB.
 REMEMBERED, REMEMBERED_IDS = 700_000, 8_000_000
+#: New pieces encoded in one call.
+ROW = 1_024
+BLANK = " \t\n\x0b\x0c\r"
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 UNSURE = "\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -53,14 +56,26 @@ class WordEncoder:
         known = self.known
         new = [p for p in pieces if p not in known]
         if new:
-            found = self._library_ids(new)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            total, first = int(sizes.sum()), len(known)
+            # Pieces between white space and something else go through the library in long rows, which is three times as fast.
+            new.sort(key=lambda p: p[0] in BLANK and p[-1] not in BLANK)
+            alone = sum(p[0] not in BLANK or p[-1] in BLANK for p in new)
+            found = self._library_ids(new[:alone])
+            ids = [np.fromiter((i for f in found for i in f), np.uint32)]
+            sizes = [np.fromiter(map(len, found), np.int64, len(found))]
+            for at in range(alone, len(new), ROW):
+                row = new[at : at + ROW]
+                encoded = self.library.encode("".join(row), add_special_tokens=False)
+                ends = np.cumsum(np.fromiter(map(len, row), np.int64, len(row)))
+                begins = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(encoded))
+                ids.append(np.array(encoded.ids, np.uint32))
+                sizes.append(np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(row)))
+            ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+            total, first = len(ids), len(known)
             while len(self.at) < first + len(new):
                 self.at, self.sizes = np.resize(self.at, 2 * len(self.at)), np.resize(self.sizes, 2 * len(self.sizes))
             while len(self.ids) < self.used + total:
                 self.ids = np.resize(self.ids, 2 * len(self.ids))
-            self.ids[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
+            self.ids[self.used : self.used + total] = ids
             self.sizes[first : first + len(new)] = sizes
             self.at[first : first + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.used += total
