@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import ORDER, age_rounded, packed_id, packed_order
 from ..scale import local_frame
+from ..sources.membership import MEMBER_DAY, Membership
 from ..sources.tables import ClinicalTables
 from .cohort import cap_persons, covered
 from .concepts import ConceptSets
@@ -162,15 +163,19 @@ def labelled_exposures(tables: ClinicalTables, sets: ConceptSets, drugs: Sequenc
     )
 
 
-def windowed_arms(cohort: DataFrame, labelled: DataFrame) -> DataFrame:
-    """The whole cohort with ``user_flag``, first exposure on or after entry, and its drug."""
-    days = labelled.select(F.col("person_id").alias("exposed_person"), "event_date")
-    after = (cohort.person_id == days.exposed_person) & (days.event_date >= cohort.obesity_entry_date)
-    dated = (
-        cohort.join(days, after, "left")
-        .groupBy(*cohort.columns)
-        .agg(F.min("event_date").alias("exposure_index_date"))
-    )
+def windowed_arms(cohort: DataFrame, labelled: DataFrame, members: Membership | None = None) -> DataFrame:
+    """The whole cohort with ``user_flag``, first exposure on or after entry, and its drug.
+
+    With ``members`` (of ``cohort``, with the entry date) exposures are tested and reduced to the first one before the join.
+    """
+    if members is not None:
+        after = members.dated(labelled).filter(F.col("event_date") >= F.col(MEMBER_DAY))
+        first = after.groupBy(F.col("person_id").alias("exposed_person")).agg(F.min("event_date").alias("exposure_index_date"))
+        dated = cohort.join(first, cohort.person_id == first.exposed_person, "left").drop("exposed_person")
+    else:
+        days = labelled.select(F.col("person_id").alias("exposed_person"), "event_date")
+        after = (cohort.person_id == days.exposed_person) & (days.event_date >= cohort.obesity_entry_date)
+        dated = cohort.join(days, after, "left").groupBy(*cohort.columns).agg(F.min("event_date").alias("exposure_index_date"))
     # One label per person and day, so the date finds it.
     drugs = labelled.withColumnRenamed("event_date", "exposure_index_date")
     return dated.join(drugs, ["person_id", "exposure_index_date"], "left").select(

@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import ORDER, age_truncated, birth_date, packed_order, safe_double
+from ..scale import stage
+from ..sources.membership import MEMBER_DAY, Membership
 from ..sources.tables import ClinicalTables
 from .concepts import ConceptSets
 from .cohort import CONDITION_SET, MEASUREMENT_SET
@@ -66,12 +68,19 @@ def windowed_entry(evidence: DataFrame) -> DataFrame:
     return chosen.select("person_id", "obesity_entry_date", named.alias("obesity_criterion"))
 
 
-def visits_before(cohort: DataFrame, visits: DataFrame, date: str, name: str = "visits_before_entry") -> DataFrame:
+def visits_before(
+    cohort: DataFrame, visits: DataFrame, date: str, name: str = "visits_before_entry", members: Membership | None = None
+) -> DataFrame:
     """``cohort`` (one row per person) with the number of visits strictly before ``date``, 0 if none.
 
-    Visits are counted per person and day before the join; the final grouping reuses the join's
+    With ``members`` (of ``cohort``, with that date) visits are tested where they are scanned and counted per person. Else they are counted per person and day before the join; the final grouping reuses the join's
     partitioning by person.
     """
+    if members is not None:
+        earlier = members.dated(visits).filter(F.col("event_date") < F.col(MEMBER_DAY))
+        counts = earlier.groupBy(F.col("person_id").alias("visitor")).agg(F.count(F.lit(1)).alias("visits"))
+        joined = cohort.join(counts, cohort.person_id == counts.visitor, "left")
+        return joined.select(*cohort.columns, F.coalesce("visits", F.lit(0)).cast("int").alias(name))
     per_day = visits.groupBy(F.col("person_id").alias("visitor"), F.col("event_date").alias("visit_day")).agg(
         F.count(F.lit(1)).alias("visits")
     )
@@ -125,7 +134,9 @@ def build_windowed_cohort(
     if evidence is None:
         evidence = windowed_evidence(tables, sets, study_start, study_end, low, high)
     aged = add_entry_age(windowed_entry(evidence), tables.persons(), min_age)
-    cohort = visits_before(aged, study_visits(tables, study_start, study_end), "obesity_entry_date")
+    aged = stage(aged)
+    members = Membership.of(aged, "obesity_entry_date")
+    cohort = visits_before(aged, study_visits(tables, study_start, study_end), "obesity_entry_date", members=members)
     if specific:
         conditions = sets.restrict(condition_events(tables, date_only=True), SPECIFIC_SET)
         cohort = flag_specific(cohort, conditions, require_specific)

@@ -14,6 +14,7 @@ from ..operators.events import condition_events, first_deaths, observation_spans
 from ..scale import scratch, stage
 from ..sources.concept_files import ConceptSpec, load_drug_specs, load_feature_csv, load_lab_json
 from ..sources.csv_tables import read_csv_table, resolve_path
+from ..sources.membership import Membership
 from ..sources.sinks import write_matching, write_table
 from ..sources.tables import ClinicalTables
 from .study import EVIDENCE, Study
@@ -83,7 +84,7 @@ def study_arms(tables: ClinicalTables, sets: ConceptSets, study: Study, members:
             exposure.ever_exposed(tables, sets) if study.exclude_ever_exposed else None,
         )
     labelled = exposure.labelled_exposures(tables, sets, list(study.drugs), study.study_start, study.study_end)
-    return exposure.windowed_arms(members, labelled)
+    return exposure.windowed_arms(members, labelled, Membership.of(members, "obesity_entry_date"))
 
 
 def index_rules(study: Study, arms: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
@@ -119,8 +120,9 @@ def eligible_arms(
 
 
 def study_covariates(tables: ClinicalTables, study: Study, arms: DataFrame) -> DataFrame:
+    """Covariates of ``arms``, which should be staged: their index dates are gathered first, and travel to the fact scans if they fit."""
     return covariates.extract_covariates(
-        tables, arms, study.condition_features, study.drug_features, study.labs, study.lookback_months
+        tables, arms, study.condition_features, study.drug_features, study.labs, study.lookback_months, members=Membership.of(arms, "index_date")
     )
 
 
@@ -212,7 +214,7 @@ def run_study(tables: ClinicalTables, study: Study) -> StudyResult:
     members = stage(study_members(tables, sets, study))
     theirs = tables.of_members(members)
     arms = stage(study_arms(theirs, sets, study, members))
-    eligible = eligible_arms(theirs, study, arms, sets)
+    eligible = stage(eligible_arms(theirs, study, arms, sets))
     features = stage(study_covariates(theirs, study, eligible))
     result = StudyResult(members, arms, eligible, features, study_attrition(study, members, arms, features))
     if not propensity.available(features, study.matching_features):

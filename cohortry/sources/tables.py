@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import within
 from .csv_tables import discover_tables, read_csv_table, resolve_path
+from .membership import MEMBER_BYTES, Membership
 from .schemas import TABLE_TYPES
 
-# Ids of this many people make a broadcast of well under 100 MB.
+# Ids of this many people are broadcast as they are; larger sets as bits, after these were counted.
 MEMBER_ROWS = 2_000_000
 
-Ids = Sequence[int] | DataFrame | None
+Ids = Sequence[int] | DataFrame | Membership | None
 
 
 def lower_names(df: DataFrame) -> DataFrame:
@@ -24,10 +25,12 @@ def keep_ids(df: DataFrame, column: str, ids: Ids) -> DataFrame:
     """Rows whose ``column`` is among ``ids``.
 
     ``None`` keeps everything and an empty collection keeps nothing. A list becomes a predicate
-    the scan can use; a DataFrame (first column) becomes a semi join.
+    the scan can use; a DataFrame (first column) becomes a semi join; a ``Membership`` is tested in the scan stage.
     """
     if ids is None:
         return df
+    if isinstance(ids, Membership):
+        return ids.keep(df, column)
     if isinstance(ids, DataFrame):
         keys = ids.select(F.col(ids.columns[0]).alias(column))
         return df.join(keys, column, "left_semi")
@@ -73,22 +76,24 @@ class ClinicalTables:
             self._frames[name] = source if isinstance(source, DataFrame) else source()
         return self._frames[name]
 
-    def of_members(self, members: DataFrame, max_rows: int = MEMBER_ROWS) -> ClinicalTables:
-        """The same tables with the rows of ``members`` only, when these are few enough to broadcast.
+    def of_members(self, members: DataFrame, max_rows: int = MEMBER_ROWS, max_bytes: int = MEMBER_BYTES) -> ClinicalTables:
+        """The same tables with the rows of ``members`` only, tested in the stage that scans a table.
 
-        Counted first, so ``members`` should be staged. Dropping other people's rows in the scan stage
-        keeps them out of every shuffle. With more members the tables stay whole, which changes no
-        result, since each step joins its members anyway.
+        Counted first, so ``members`` should be staged. Up to ``max_rows`` ids are broadcast as they are, more as bits of at most
+        ``max_bytes``. Beyond that the tables stay whole, which changes no result, since each step joins its members anyway.
         """
         ids = members.select("person_id")
+        held = None
         if ids.count() > max_rows:
-            return self
+            held = Membership.of(ids, max_bytes=max_bytes)
+            if held is None:
+                return self
 
         def restricted(name: str) -> DataFrame:
             df = self[name]
             if "person_id" not in df.columns:
                 return df
-            return df.join(F.broadcast(ids), "person_id", "left_semi").select(*df.columns)
+            return held.keep(df) if held else df.join(F.broadcast(ids), "person_id", "left_semi").select(*df.columns)
 
         return ClinicalTables(self.spark, {name: (lambda name=name: restricted(name)) for name in self._sources})
 

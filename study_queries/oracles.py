@@ -396,6 +396,12 @@ CHECKS: dict[str, str] = {
         SELECT condition_occurrence_id, person_id, condition_concept_id, condition_start_date FROM condition_occurrence
         WHERE {_WITH_DEATH} AND condition_concept_id IN (SELECT concept_id FROM set_conditions)
           AND condition_start_date {IN_STUDY}""",
+    "acc_members": f"""
+        SELECT measurement_id, person_id, measurement_concept_id, measurement_date FROM measurement
+        WHERE person_id IN (SELECT person_id FROM indexed) AND measurement_concept_id IN (0, 3) AND measurement_date {IN_STUDY}""",
+    "member_days": """
+        SELECT i.person_id, i.index_date, count(*) AS n FROM indexed i
+        JOIN condition_occurrence e ON e.person_id = i.person_id AND e.condition_start_date <= i.index_date GROUP BY ALL""",
     "acc_drug": f"""
         SELECT drug_exposure_id, person_id, drug_concept_id, drug_exposure_start_date FROM drug_exposure
         WHERE {_WITH_DEATH} AND drug_concept_id IN (50, 60, 61) AND drug_exposure_start_date >= DATE '1995-01-01'""",

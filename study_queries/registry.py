@@ -15,6 +15,7 @@ from cohortry.operators import matching, propensity, survival, windowed
 from cohortry.plans import steps
 from cohortry.scale import stage, staging_root
 from cohortry.sources import concept_files, csv_tables
+from cohortry.sources.membership import Membership
 from cohortry.sources.concept_files import ConceptSpec, exploded_ids
 from cohortry.sources.sinks import read_back, save_with_suffix, write_csv, write_matching
 from cohortry.sources.tables import ClinicalTables
@@ -84,7 +85,12 @@ class Context:
 
     @cached_property
     def indexed(self):
-        return covariates.with_index_date(self.arms)
+        return stage(covariates.with_index_date(self.arms))
+
+    @cached_property
+    def members(self):
+        """Members of both arms with their index dates, as bits."""
+        return Membership.of(self.indexed, "index_date")
 
     @cached_property
     def covariates(self):
@@ -92,11 +98,11 @@ class Context:
 
     @cached_property
     def encoded(self):
-        """Numeric features of both arms, staged since imputing and scaling read them again."""
+        """Numeric features of both arms, staged before and after labels are encoded, since imputing and scaling read them again and again."""
         combined = self.covariates.select(
             "person_id", F.col("user_flag").alias("treatment"), "index_date", "race_concept_id", *FEATURES
         )
-        return propensity.to_numeric(stage(combined), FEATURES)
+        return stage(propensity.to_numeric(stage(combined), FEATURES))
 
     @cached_property
     def imputed(self):
@@ -248,6 +254,21 @@ def acc_condition(c):
     return kept.select("condition_occurrence_id", "person_id", "condition_concept_id", "condition_start_date")
 
 
+@query
+def acc_members(c):
+    """Measurements of the cohort's members, tested against their bits in the scan."""
+    kept = c.tables.measurements(Membership.of(c.indexed), [0, 3], START, END)
+    return kept.select("measurement_id", "person_id", "measurement_concept_id", "measurement_date")
+
+
+@query
+def member_days(c):
+    """Conditions of members, with the index date that travels to the scan."""
+    dated = c.members.dated(events.condition_events(c.tables, date_only=True))
+    before = dated.filter(F.col("event_date") <= F.col("member_day"))
+    return before.groupBy("person_id", F.col("member_day").alias("index_date")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def acc_drug(c):
     kept = c.tables.drug_exposures(c.deceased, [50, 60, 61], start="1995-01-01")
@@ -733,20 +754,20 @@ def cov_drugs(c):
 @query
 def cov_labs(c):
     found = events.measurement_events(c.tables, date_only=True)
-    return rounded(covariates.latest_values(_key(c), found, STUDY.labs), *STUDY.labs).drop("index_date")
+    return rounded(covariates.latest_values(_key(c), found, STUDY.labs, members=c.members), *STUDY.labs).drop("index_date")
 
 
 @query
 def cov_lookback(c):
     found = events.condition_events(c.tables, date_only=True)
-    return covariates.baseline_flags(_key(c), found, STUDY.condition_features, 12).drop("index_date")
+    return covariates.baseline_flags(_key(c), found, STUDY.condition_features, 12, c.members).drop("index_date")
 
 
 @query
 def lab_lookback(c):
     found = events.measurement_events(c.tables, date_only=True)
     labs = {"lab_a": STUDY.labs["lab_a"]}
-    return rounded(covariates.latest_values(_key(c), found, labs, 12), "lab_a").drop("index_date")
+    return rounded(covariates.latest_values(_key(c), found, labs, 12, c.members), "lab_a").drop("index_date")
 
 
 @query
