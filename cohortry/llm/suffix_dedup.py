@@ -9,7 +9,10 @@
 3. Different segments of one anchor meet in one task. A suffix array over them is built by two-stage sorting: only suffixes smaller
    than their successors are sorted directly, all others follow from scanning the buckets in order. Adjacent
    common prefixes of 50 bytes or more then give the smallest document of each string.
-   Segments of an anchor that has very many are parted instead: each of their strings is a group of its own.
+   An anchor with more different segments than one array should hold is parted by where the anchor lies in a string: strings
+   with it in one half of the places have bytes to its right in common with any equal string, those of the other half bytes to its left, so
+   only segments with the same such bytes meet, with only these strings. Parts that are still too large are halved again; strings with the
+   anchor at one place that share all those bytes are equal.
 4. Each document's strings with a smaller document are joined to spans and cut out.
 
 Exact copies of a text are resolved beforehand by their checksum.
@@ -25,9 +28,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortry.scale import stage
+from cohortry.scale import scratch, stage
 
-from .storage import freed, rows_in_slices, ship
+from .storage import freed, new_folder, rows_in_slices, ship
 
 LENGTH, GRAM = 50, 20
 #: Anchors a string can have: grams in it.
@@ -35,8 +38,8 @@ REACH = LENGTH - GRAM + 1
 #: Bytes of text a map step collapses together, and of segments that one suffix array holds (about 150 MB of arrays).
 BATCH_BYTES, ARRAY_BYTES = 8 << 20, 1 << 20
 NO_ID = 2**63 - 1
-#: An anchor with more segments than this, such as the edge of a very common line, is parted string by string.
-MEET = 5_000
+#: Different segments that one suffix array holds of one anchor; larger anchors, such as the edge of a very common line, are parted.
+LARGE = 30_000
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -265,9 +268,12 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, print, begin, anchor, mark, segment, first): every anchor's segment; its bytes stand with one of the equal ones of a batch."""
-    names = ["doc", "print", "begin", "anchor", "mark", "segment", "first"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    """(doc, print, begin, anchor, mark, segment, place, first): every anchor's segment; its bytes stand with one of the equal ones of a batch.
+
+    ``mark`` is a hash of the segment and of the anchor's place in it.
+    """
+    names = ["doc", "print", "begin", "anchor", "mark", "segment", "place", "first"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
     for batch in rows_in_slices(batches, 4096):
         rows, first = [], {}
         for doc, mark, text, places in zip(*(batch[c].to_pylist() for c in ("doc", "print", "text", "places"))):
@@ -281,14 +287,14 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 begin = max(0, place - REACH + 1)
                 segment = data[begin : place + LENGTH]
                 if len(segment) >= LENGTH:
-                    key = (anchor, segment)
+                    key = (anchor, segment, place - begin)
                     if key not in first or doc < first[key]:
                         first[key] = doc
-                    rows.append((doc, mark, begin, anchor, segment))
+                    rows.append((doc, mark, begin, anchor, segment, place - begin))
         out = []
-        for doc, mark, begin, anchor, segment in rows:
-            least = first.pop((anchor, segment), None)
-            out.append((doc, mark, begin, anchor, xxhash.xxh3_64_intdigest(segment) - 2**63, segment if least is not None else None, least))
+        for doc, mark, begin, anchor, segment, place in rows:
+            least = first.pop((anchor, segment, place), None)
+            out.append((doc, mark, begin, anchor, xxhash.xxh3_64_intdigest(segment, place) - 2**63, segment if least is not None else None, place, least))
         if out:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
@@ -299,76 +305,125 @@ def _sorted_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     Rows come sorted by anchor; whole anchors are gathered until a suffix array is full.
     """
 
-    def solved(groups: list[dict[bytes, int]], anchors_: list[int]) -> pa.RecordBatch:
+    def solved(groups: list[dict[int, tuple[bytes, int]]], anchors_: list[int]) -> pa.RecordBatch:
         rows = []
-        several = [(a, s, f) for a, g in zip(anchors_, groups) if len(g) > 1 for s, f in g.items()]
+        several = [(a, mark, *found) for a, g in zip(anchors_, groups) if len(g) > 1 for mark, found in g.items()]
         # One segment alone has no other to share a string with.
         for a, g in zip(anchors_, groups):
             if len(g) == 1:
-                (segment, first), = g.items()
-                rows.append((a, segment, 0, len(segment) - LENGTH + 1, first))
+                (mark, (segment, first)), = g.items()
+                rows.append((a, mark, 0, len(segment) - LENGTH + 1, first))
         if several:
-            found = earliest([s for _, s, _ in several], np.array([f for *_, f in several], np.int64))
-            for (a, segment, _), least in zip(several, found):
+            found = earliest([x[2] for x in several], np.array([x[3] for x in several], np.int64))
+            for (a, mark, *_), least in zip(several, found):
                 cuts = np.nonzero(np.diff(least))[0] + 1
                 for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(least)]):
-                    rows.append((a, segment, low, high, int(least[low])))
-        columns = list(zip(*rows))
-        columns[1] = [xxhash.xxh3_64_intdigest(s) - 2**63 for s in columns[1]]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()])], ["anchor", "mark", "since", "until", "first"])
+                    rows.append((a, mark, low, high, int(least[low])))
+        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()])], ["anchor", "mark", "since", "until", "first"])
 
-    groups: list[dict[bytes, int]] = []
+    groups: list[dict[int, tuple[bytes, int]]] = []
     owners: list[int] = []
     size = 0
     for batch in batches:
-        for anchor, segment, first in zip(batch["anchor"].to_pylist(), batch["segment"].to_pylist(), batch["first"].to_pylist()):
+        for anchor, mark, segment, first in zip(*(batch[c].to_pylist() for c in ("anchor", "mark", "segment", "first"))):
             if not owners or owners[-1] != anchor:
                 if size >= ARRAY_BYTES:
                     yield solved(groups, owners)
                     groups, owners, size = [], [], 0
                 owners.append(anchor)
                 groups.append({})
-            if segment not in groups[-1]:
+            known = groups[-1].get(mark)
+            if known is None:
                 size += len(segment)
-                groups[-1][segment] = first
-            else:
-                groups[-1][segment] = min(first, groups[-1][segment])
+                groups[-1][mark] = segment, first
+            elif first < known[1]:
+                groups[-1][mark] = segment, first
     if owners:
         yield solved(groups, owners)
 
 
-def _by_string(segments: DataFrame) -> DataFrame:
-    """The same answer as ``_sorted_segments`` for anchors with very many segments, from a grouping by string, which spreads."""
-    places = F.explode(F.sequence(F.lit(0), F.octet_length("segment") - LENGTH)).alias("since")
-    strings = segments.select("anchor", "mark", "segment", "first", places).select("anchor", "mark", "since", F.substring("segment", F.col("since") + 1, F.lit(LENGTH)).alias("string"), "first")
-    least = strings.groupBy("string").agg(F.min("first").alias("least"))
-    found = strings.select("anchor", "mark", "since", "string").distinct().join(least, "string")
-    return found.select("anchor", "mark", F.col("since").cast("int").alias("since"), (F.col("since") + 1).cast("int").alias("until"), F.col("least").alias("first"))
+RUNS = "anchor long, mark long, since int, until int, first long"
+
+
+def _least(own: DataFrame, parts: int) -> DataFrame:
+    dealt = own.select("anchor", "mark", "segment", "first").repartition(parts, "anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(_sorted_segments, RUNS)
+
 
+def _too_large(own: DataFrame, large: int) -> DataFrame:
+    counts = own.select("anchor", "mark").distinct().groupBy("anchor").agg(F.count("anchor").alias("n"))
+    return stage(counts.where(F.col("n") > large).select("anchor"))
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc, print, copy, spans): texts with something to remove; ``copy`` where the whole text is one of an earlier document."""
+
+def _halved(rows: DataFrame, low: int, high: int) -> DataFrame:
+    """Strings with the anchor at places ``low`` to ``high`` of them, keyed by the bytes that any two equal ones share.
+
+    ``rows`` has anchor (a key), whole, mark, segment, place and first; ``whole`` and ``mark`` name the original segment. The new segment
+    holds just these strings, ``skip`` of the original one's come before it.
+    """
+    size = F.octet_length("segment")
+    least, most = F.greatest(F.lit(low), F.col("place") + LENGTH - size), F.least(F.lit(high), F.col("place"))
+    cut = rows.withColumn("least", least).withColumn("most", most).where("least <= most")
+    beside = F.substring("segment", F.col("place") - low + 1, F.lit(low + GRAM + REACH - 1 - high))
+    segment = F.substring("segment", F.col("place") - F.col("most") + 1, F.col("most") - F.col("least") + LENGTH)
+    return cut.select(
+        F.xxhash64("anchor", F.lit(low), F.lit(high), beside).alias("anchor"), "whole", "mark", segment.alias("segment"), F.col("most").alias("place"),
+        "first", (F.col("skip") + F.col("place") - F.col("most")).alias("skip"),
+    )
+
+
+def _parted(own: DataFrame, parts: int, large: int) -> DataFrame:
+    """The same answer as ``_least`` for anchors with very many segments, from parts that share bytes beside the anchor."""
+    waiting = [(0, REACH - 1, own.withColumn("whole", F.col("anchor")).withColumn("skip", F.lit(0)))]
+    found = None
+    while waiting:
+        low, high, rows = waiting.pop()
+        middle = (low + high) // 2
+        for begin, end in ((low, middle), (middle + 1, high)):
+            half = stage(_halved(rows, begin, end).withColumn("cell", F.xxhash64("segment", "place")))
+            cells = half.select("anchor", F.col("cell").alias("mark"), "segment", "first")
+            hot = _too_large(cells, large)
+            small = half.join(hot, "anchor", "left_anti")
+            runs = _least(cells.join(hot, "anchor", "left_anti"), parts).withColumnRenamed("mark", "cell").drop("whole")
+            done = small.select("anchor", "whole", "mark", "skip", "cell").distinct().join(runs, ["anchor", "cell"])
+            done = stage(done.select(F.col("whole").alias("anchor"), "mark", (F.col("skip") + F.col("since")).alias("since"), (F.col("skip") + F.col("until")).alias("until"), "first"))
+            found = done if found is None else found.unionByName(done)
+            if begin < end and hot.limit(1).count():
+                waiting.append((begin, end, half.join(hot, "anchor", "left_semi").drop("cell")))
+    return found
+
+
+SPANS = "doc long, print long, copy boolean, spans array<struct<since:int,until:int>>"
+
+
+def repeated_spans(docs: DataFrame, large: int = LARGE) -> DataFrame:
+    """(doc, print, copy, spans): texts with something to remove; ``copy`` where the whole text is one of an earlier document.
+
+    Only this result is left in the shared folder; everything it was made of is deleted.
+    """
     spark = docs.sparkSession
     keyed = _keyed(docs)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    whole = stage(keyed.select("doc", "print", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), F.octet_length("text").alias("n_bytes")))
-    firsts = whole.groupBy("sha").agg(F.min("doc").alias("least"))
-    copies = stage(whole.join(firsts, "sha").where((F.col("doc") > F.col("least")) & (F.col("n_bytes") >= LENGTH)).select("doc", "print").distinct())
-    blocks = keyed.mapInArrow(_anchor_blocks(parts), "part int, docs binary, prints binary, high binary, low binary, places binary, owners binary, sure binary")
-    kept = blocks.repartition(parts, "part").mapInArrow(_repeated, "doc long, print long, place int")
-    places = kept.groupBy("doc", "print").agg(F.collect_list("place").alias("places")).join(copies, ["doc", "print"], "left_anti")
-    anchored = keyed.join(places, ["doc", "print"]).select("doc", "print", "text", "places")
-    with freed(spark):
-        segments = stage(anchored.mapInArrow(_segments, "doc long, print long, begin int, anchor long, mark long, segment binary, first long"))
-        own = segments.where(F.col("segment").isNotNull()).select("anchor", "mark", "segment", "first")
-        many = stage(own.groupBy("anchor").agg(F.count("anchor").alias("n")).where(F.col("n") > MEET).select("anchor"))
-        few = own.drop("mark").join(many, "anchor", "left_anti").repartition(parts, "anchor").sortWithinPartitions("anchor")
-        sorted_ = few.mapInArrow(_sorted_segments, "anchor long, mark long, since int, until int, first long")
-        least = stage(sorted_.unionByName(_by_string(own.join(many, "anchor", "left_semi"))))
-    places = segments.select("doc", "print", "begin", "anchor", "mark").join(least, ["anchor", "mark"]).where("first < doc")
-    span = F.struct((F.col("begin") + F.col("since")).alias("since"), (F.col("begin") + F.col("until") - 1 + LENGTH).alias("until"))
-    spans = places.groupBy("doc", "print").agg(F.collect_set(span).alias("spans")).select("doc", "print", F.lit(False).alias("copy"), "spans")
-    return spans.unionByName(copies.select("doc", "print", F.lit(True).alias("copy"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
+    path = new_folder(spark, "spans")
+    with freed(spark), scratch(spark):
+        whole = stage(keyed.select("doc", "print", F.sha2(F.col("text").cast("binary"), 256).alias("sha"), F.octet_length("text").alias("n_bytes")))
+        firsts = whole.groupBy("sha").agg(F.min("doc").alias("least"))
+        copies = stage(whole.join(firsts, "sha").where((F.col("doc") > F.col("least")) & (F.col("n_bytes") >= LENGTH)).select("doc", "print").distinct())
+        blocks = keyed.mapInArrow(_anchor_blocks(parts), "part int, docs binary, prints binary, high binary, low binary, places binary, owners binary, sure binary")
+        kept = blocks.repartition(parts, "part").mapInArrow(_repeated, "doc long, print long, place int")
+        places = kept.groupBy("doc", "print").agg(F.collect_list("place").alias("places")).join(copies, ["doc", "print"], "left_anti")
+        anchored = keyed.join(places, ["doc", "print"]).select("doc", "print", "text", "places")
+        segments = stage(anchored.mapInArrow(_segments, "doc long, print long, begin int, anchor long, mark long, segment binary, place int, first long"))
+        own = segments.where(F.col("segment").isNotNull()).select("anchor", "mark", "segment", "place", "first")
+        hot = _too_large(own, large)
+        least = stage(_least(own.join(hot, "anchor", "left_anti"), parts))
+        if hot.limit(1).count():
+            least = least.unionByName(_parted(own.join(hot, "anchor", "left_semi"), parts, large))
+        places = segments.select("doc", "print", "begin", "anchor", "mark").join(least, ["anchor", "mark"]).where("first < doc")
+        span = F.struct((F.col("begin") + F.col("since")).alias("since"), (F.col("begin") + F.col("until") - 1 + LENGTH).alias("until"))
+        spans = places.groupBy("doc", "print").agg(F.collect_set(span).alias("spans")).select("doc", "print", F.lit(False).alias("copy"), "spans")
+        spans.unionByName(copies.select("doc", "print", F.lit(True).alias("copy"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))).write.parquet(path)
+    return spark.read.schema(SPANS).parquet(path)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -385,7 +440,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
-def deduplicated(docs: DataFrame, with_text: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, with_text: bool = True, large: int = LARGE) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; ``kept`` is what remains, in bytes, since a cut may split a character.
 
     Null texts are empty. Rows of equal id don't remove each other's bytes, nor do rows without an id, which come after all others.
@@ -406,5 +461,5 @@ def deduplicated(docs: DataFrame, with_text: bool = True) -> DataFrame:
     schema = KEPT if with_text else KEPT.rpartition(",")[0]
     names = [part.split()[0] for part in schema.split(", ")]
     kinds = ([pa.int64()] * 4 + [pa.string(), pa.binary()])[: len(names)]
-    joined = _keyed(docs).join(repeated_spans(docs), ["doc", "print"], "left")
+    joined = _keyed(docs).join(repeated_spans(docs, large), ["doc", "print"], "left")
     return joined.select("doc", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "spans").mapInArrow(cut, schema)

@@ -60,13 +60,26 @@ def test_documents(spark):
     check(queries.op6_suffix_dedup(spark, FOLDER), docs)
 
 
-def test_anchors_with_many_segments_are_parted(spark, monkeypatch):
-    monkeypatch.setattr(D, "MEET", 3)
+def test_anchors_with_many_segments_are_parted(spark):
     chance = np.random.default_rng(1)
     word = lambda n: "".join(chance.choice(list("abcdefgh "), n))
     line = word(90)
     docs = [(i, word(70) + line + word(60)) for i in range(30)] + [(i, word(30) + line[:60] + word(40) + line[20:]) for i in range(30, 40)]
-    check(D.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")), docs)
+    for large in (1, 3):
+        check(D.deduplicated(spark.createDataFrame(docs, "doc_id long, text string"), large=large), docs)
+
+
+def test_one_anchor_with_twenty_thousand_segments_over_many_slices(spark):
+    """A line of 40 bytes in every text; what stands beside it is drawn so that only some strings across its edges are equal."""
+    chance = np.random.default_rng(2)
+    line = "".join(chance.choice(list("abcdefgh"), 40))
+    sides = ["".join(chance.choice(list("stuvw"), 6)) for _ in range(60)]
+    tails = chance.choice(list("klmnop"), (20_000, 60))
+    docs = [(i, "".join(tails[i, :30]) + sides[int(chance.integers(60))] + line + sides[int(chance.integers(60))] + "".join(tails[i, 30:])) for i in range(20_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(40)
+    rows = D.deduplicated(frame, large=1_500)
+    check(rows, docs)
+    assert rows.where("n_removed > 0").count() > 10_000
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
