@@ -169,6 +169,7 @@ def build_cohort(
     high: float = 30,
     max_persons: int | None = None,
     index: DataFrame | None = None,
+    merge_gap_days: int | None = None,
 ) -> DataFrame:
     """The final cohort: chosen index, demographics, and every study filter.
 
@@ -187,7 +188,7 @@ def build_cohort(
         F.col("death_date").isNull() | (F.col("index_date") <= F.col("death_date"))
     )
     seen = with_prior_visit(alive, visit_events(tables))
-    return covered(seen, observation_spans(tables), "index_date").select(
+    return covered(seen, observation_spans(tables, merge_gap_days), "index_date").select(
         "person_id", "index_date", "index_source",
         "obesity_dx_flag", "bmi_ge_30_flag", "bmi_ge_27_plus_comorb_flag",
         "birth_date", "age_at_index",

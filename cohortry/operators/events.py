@@ -5,7 +5,7 @@ Each view takes an optional closed date range, and ``date_only`` to ignore the t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import event_date, within
 from ..sources.tables import ClinicalTables
@@ -45,16 +45,31 @@ def visit_events(tables: ClinicalTables, date_only: bool = False, start=None, en
                    "visit_occurrence_id", date_only=date_only, start=start, end=end)
 
 
-def observation_spans(tables: ClinicalTables) -> DataFrame:
-    """Observation periods per person, the longest for each start date.
+def observation_spans(tables: ClinicalTables, merge_gap_days: int | None = None) -> DataFrame:
+    """Observation periods per person, the longest for each start date; merged if a gap is given.
 
     Shorter periods with the same start cover no further day, so dropping them changes no test
     of coverage and bounds the rows per person.
     """
     periods = tables["observation_period"]
-    return periods.groupBy("person_id", F.col("observation_period_start_date").cast("date").alias("obs_start")).agg(
+    spans = periods.groupBy("person_id", F.col("observation_period_start_date").cast("date").alias("obs_start")).agg(
         F.max(F.col("observation_period_end_date").cast("date")).alias("obs_end")
     )
+    return spans if merge_gap_days is None else merged_spans(spans, merge_gap_days)
+
+
+def merged_spans(spans: DataFrame, gap_days: int = 0) -> DataFrame:
+    """Islands of observation: periods with at most ``gap_days`` days between them become one; 0 joins those that overlap or touch.
+
+    A period begins an island if it starts too late after the latest end of all earlier ones, which may belong to a long period far
+    before. Periods without a start or an end are left out, one that ends before it starts covers nothing and is left out too.
+    """
+    whole = spans.filter("obs_start IS NOT NULL AND obs_end >= obs_start")
+    in_order = Window.partitionBy("person_id").orderBy("obs_start")
+    reached = F.max("obs_end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = (reached.isNull() | (F.datediff("obs_start", reached) > gap_days + 1)).cast("int")
+    numbered = whole.withColumn("begins", begins).withColumn("island", F.sum("begins").over(in_order))
+    return numbered.groupBy("person_id", "island").agg(F.min("obs_start").alias("obs_start"), F.max("obs_end").alias("obs_end")).drop("island")
 
 
 def first_deaths(tables: ClinicalTables) -> DataFrame:

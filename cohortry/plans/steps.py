@@ -66,7 +66,7 @@ def study_cohort(tables: ClinicalTables, sets: ConceptSets, study: Study) -> Dat
     if study.rules == EVIDENCE:
         return cohort.build_cohort(
             tables, sets, study.study_start, study.study_end, study.min_index_date,
-            study.min_age_at_entry, study.bmi_low, study.bmi_high, study.max_persons,
+            study.min_age_at_entry, study.bmi_low, study.bmi_high, study.max_persons, merge_gap_days=study.merge_gap_days,
         )
     return windowed.build_windowed_cohort(
         tables, sets, study.study_start, study.study_end, study.min_age_at_entry, study.bmi_low, study.bmi_high,
@@ -80,7 +80,7 @@ def study_arms(tables: ClinicalTables, sets: ConceptSets, study: Study, members:
         events = exposure.exposure_events(tables, sets, *study.exposure_window)
         return exposure.label_arms(
             exposure.typed_cohort(members, study.max_persons), exposure.first_exposure(events),
-            observation_spans(tables), study.min_days, study.max_days,
+            observation_spans(tables, study.merge_gap_days), study.min_days, study.max_days,
             exposure.ever_exposed(tables, sets) if study.exclude_ever_exposed else None,
         )
     labelled = exposure.labelled_exposures(tables, sets, list(study.drugs), study.study_start, study.study_end)
@@ -115,7 +115,7 @@ def eligible_arms(
             found = sets.restrict(condition_events(tables), name)
             kept = eligibility.by_baseline_condition(kept, found, "index_date", exclude)
     if study.min_followup_days:
-        kept = eligibility.with_follow_up(kept, observation_spans(tables), "index_date", study.min_followup_days)
+        kept = eligibility.with_follow_up(kept, observation_spans(tables, study.merge_gap_days), "index_date", study.min_followup_days)
     return kept
 
 
@@ -144,7 +144,7 @@ def study_survival(
     """Survival data of people who have ``treatment`` and ``index_date``."""
     return survival.survival_data(
         people.select("person_id", propensity.TREATMENT, *by, "index_date"),
-        condition_events(tables), study.outcomes, observation_spans(tables), first_deaths(tables),
+        condition_events(tables), study.outcomes, observation_spans(tables, study.merge_gap_days), first_deaths(tables),
         study.study_end, study.max_followup_years, competing_death,
     )
 

@@ -64,6 +64,7 @@ class Study:
     cohort_input: str | None = None
     outputs: Mapping[str, str] = field(default_factory=dict)
     min_followup_days: int = 0
+    merge_gap_days: int | None = None
     matching_features: tuple[str, ...] = ()
     caliper_multiplier: float = CALIPER
     outcomes: Mapping[str, tuple[int, ...]] = field(default_factory=dict)
@@ -83,6 +84,8 @@ class Study:
             raise ValueError("BMI thresholds must satisfy 0 <= low <= high")
         if self.caliper_multiplier <= 0:
             raise ValueError("caliper_multiplier must be positive")
+        if self.merge_gap_days is not None and self.merge_gap_days < 0:
+            raise ValueError("merge_gap_days must not be negative")
         if self.min_days > self.max_days:
             raise ValueError("min_days is above max_days")
 
@@ -144,6 +147,7 @@ def _from_nested(config: Mapping) -> Study:
         subgroups=tuple(config.get("subgroups", ())),
         min_followup_days=int(follow_up.get("min_days") or 0),
         max_followup_years=follow_up.get("max_years"),
+        merge_gap_days=follow_up.get("merge_gap_days"),
         exclude_ever_exposed=bool(exposure.get("exclude_ever_exposed", False)),
         **_baseline(config),
         source_dir=config.get("cdm_path"),
@@ -199,6 +203,7 @@ def _from_flat(config: Mapping) -> Study:
         true_age_at_index=bool(config.get("true_age_at_index", False)),
         lookback_months=config.get("lookback_months"),
         max_followup_years=config.get("max_followup_years"),
+        merge_gap_days=config.get("merge_gap_days"),
         subgroups=tuple(config.get("subgroups", ())),
         **_baseline(config),
     )

@@ -348,6 +348,16 @@ def _rounded(columns: str, *doubles: str, source: str) -> str:
     return f"SELECT {', '.join(p for p in parts if p)} FROM {source}"
 
 
+def _islands(gap: int) -> str:
+    """Days on which a person is observed, counting ``gap`` days behind each period, put together day by day."""
+    return f"""
+        WITH days AS (
+            SELECT DISTINCT person_id, unnest(generate_series(observation_period_start_date, observation_period_end_date, INTERVAL 1 DAY))::DATE AS day FROM observation_period),
+        edges AS (SELECT person_id, day, COALESCE(day - lag(day) OVER (PARTITION BY person_id ORDER BY day) > {gap + 1}, TRUE) AS fresh FROM days),
+        numbered AS (SELECT person_id, day, SUM(fresh::INT) OVER (PARTITION BY person_id ORDER BY day) AS island FROM edges)
+        SELECT person_id, MIN(day) AS obs_start, MAX(day) AS obs_end FROM numbered GROUP BY person_id, island"""
+
+
 _ARM_COLUMNS = (
     "person_id, obesity_index_date, index_source, birth_date, age_at_index, gender_concept_id, "
     "race_concept_id, ethnicity_concept_id, death_date"
@@ -498,6 +508,24 @@ CHECKS: dict[str, str] = {
                COUNT(*) FILTER (WHERE visits_before_entry >= 1) AS n_with_visit FROM w_cohort""",
     "exposure_events": "SELECT person_id, concept_id, event_date, event_id FROM exposures",
     "first_exposure": "SELECT person_id, exposure_date, exposure_concept_id FROM first_use",
+    "observation_islands": _islands(0),
+    "observation_islands_gap": _islands(180),
+    "follow_up_islands": f"""
+        SELECT i.person_id, i.index_date FROM indexed i WHERE EXISTS (
+            SELECT 1 FROM ({_islands(180)}) o WHERE o.person_id = i.person_id
+            AND i.index_date BETWEEN o.obs_start AND o.obs_end AND date_diff('day', i.index_date, o.obs_end) >= 730)""",
+    "survival_islands": f"""
+        WITH seen AS (
+            SELECT m.person_id, m.treatment, m.index_date, d.death_date,
+                   LEAST(o.obs_end, d.death_date, DATE '2001-12-31', CAST(m.index_date + INTERVAL 60 MONTH AS DATE)) AS stop
+            FROM scored m JOIN ({_islands(0)}) o ON o.person_id = m.person_id AND m.index_date BETWEEN o.obs_start AND o.obs_end
+            LEFT JOIN first_death d ON d.person_id = m.person_id),
+        firsts AS (
+            SELECT s.*, w.outcome, (SELECT MIN(e.day) FROM outcome_events e WHERE e.person_id = s.person_id AND e.outcome = w.outcome AND e.day > s.index_date) AS hit
+            FROM seen s CROSS JOIN (SELECT unnest(['out_a', 'out_b']) AS outcome) w)
+        SELECT person_id, treatment, outcome, CAST(date_diff('day', index_date, LEAST(stop, COALESCE(hit, stop))) AS INTEGER) AS T,
+               CAST(COALESCE(hit <= stop, FALSE) AS INTEGER) AS E
+        FROM firsts WHERE stop >= index_date""",
     "observation_spans": """
         SELECT person_id, observation_period_start_date AS obs_start, MAX(observation_period_end_date) AS obs_end
         FROM observation_period GROUP BY 1, 2""",
@@ -628,9 +656,9 @@ CHECKS: dict[str, str] = {
         WITH moved AS (SELECT person_id, treatment, CAST(index_date - INTERVAL 400 DAY AS DATE) AS t0 FROM scored),
         watched AS (
             SELECT m.*, o.outcome, d.death_date,
-                   LEAST(p.observation_period_end_date, DATE '2001-12-31', CAST(t0 + INTERVAL 60 MONTH AS DATE)) AS last_day
-            FROM moved m JOIN observation_period p ON p.person_id = m.person_id
-             AND p.observation_period_start_date <= t0 AND t0 <= p.observation_period_end_date
+                   LEAST(m.seen_until, DATE '2001-12-31', CAST(t0 + INTERVAL 60 MONTH AS DATE)) AS last_day
+            FROM (SELECT person_id, treatment, t0, MAX(observation_period_end_date) AS seen_until FROM moved JOIN observation_period USING (person_id)
+                  WHERE t0 BETWEEN observation_period_start_date AND observation_period_end_date GROUP BY ALL) m
             CROSS JOIN (SELECT unnest(['out_a', 'out_b']) AS outcome) o
             LEFT JOIN first_death d ON d.person_id = m.person_id),
         hit AS (

@@ -579,6 +579,30 @@ def first_exposure(c):
     return c.first_use.drop("exposure_id")
 
 
+@query
+def observation_islands(c):
+    """Periods that overlap or touch are one."""
+    return events.observation_spans(c.tables, 0)
+
+
+@query
+def observation_islands_gap(c):
+    return events.observation_spans(c.tables, 180)
+
+
+@query
+def follow_up_islands(c):
+    """People followed for two years, gaps of up to half a year ignored."""
+    return eligibility.with_follow_up(_key(c), events.observation_spans(c.tables, 180), "index_date", 730)
+
+
+@query
+def survival_islands(c):
+    """Survival where touching periods don't end the follow-up."""
+    people = c.scored.select("person_id", "treatment", "index_date")
+    return steps.study_survival(c.tables, STUDY.with_changes(merge_gap_days=0), people)
+
+
 @query
 def observation_spans(c):
     return c.spans

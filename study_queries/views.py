@@ -62,14 +62,24 @@ VIEWS = {
                CASE WHEN l_quantity = 48 THEN NULL WHEN l_quantity = 49 THEN 'n/a'
                     ELSE CAST(l_quantity AS STRING) END AS value_as_number
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
+    # Half of the people have two periods: apart, touching, or overlapping.
     "observation_period": """
-        SELECT o_custkey AS person_id, CAST(min(o_orderdate) AS DATE) AS observation_period_start_date,
-               CAST(max(o_orderdate) AS DATE) AS observation_period_end_date
-        FROM {orders} GROUP BY o_custkey""",
+        SELECT person_id, period_start AS observation_period_start_date,
+               CASE WHEN person_id % 4 = 0 THEN coalesce(CAST(next_start - INTERVAL '1' DAY AS DATE), period_end)
+                    WHEN person_id % 12 = 2 THEN coalesce(CAST(next_start + INTERVAL '100' DAY AS DATE), period_end)
+                    ELSE period_end END AS observation_period_end_date
+        FROM (SELECT person_id, period_start, period_end, lead(period_start) OVER (PARTITION BY person_id ORDER BY period_start) AS next_start
+              FROM (SELECT o_custkey AS person_id, CASE WHEN o_custkey % 2 = 0 AND o_orderdate < TIMESTAMP '1996-06-01 00:00:00' THEN 0 ELSE 1 END AS half,
+                           CAST(min(o_orderdate) AS DATE) AS period_start, CAST(max(o_orderdate) AS DATE) AS period_end
+                    FROM {orders} GROUP BY 1, 2) halves) ordered""",
+    # A third of the dead have a second, later row.
     "death": """
-        SELECT c_custkey AS person_id, CAST(max(o_orderdate) AS DATE) AS death_date
-        FROM {customer} JOIN {orders} ON c_custkey = o_custkey
-        WHERE c_acctbal < 0 AND o_orderkey % 2 = 0 GROUP BY c_custkey""",
+        SELECT person_id, CASE WHEN again = 1 THEN CAST(death_date + INTERVAL '20' DAY AS DATE) ELSE death_date END AS death_date
+        FROM (SELECT c_custkey AS person_id, CAST(max(o_orderdate) AS DATE) AS death_date
+              FROM {customer} JOIN {orders} ON c_custkey = o_custkey
+              WHERE c_acctbal < 0 AND o_orderkey % 2 = 0 GROUP BY c_custkey) dead
+        CROSS JOIN (SELECT 0 AS again UNION ALL SELECT 1 AS again) copies
+        WHERE again = 0 OR person_id % 3 = 0""",
 }
 
 
