@@ -8,6 +8,7 @@ from posixpath import basename
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .buckets import write_buckets
 from .quoted_csv import quoted_records, split_states
 from .schemas import CONCEPT_COLUMN, TABLE_TYPES
 
@@ -189,17 +190,20 @@ def convert_to_parquet(
     union_by_name: bool = False,
     delimiter: str | None = None,
     multi_line: bool | None = None,
+    buckets: int | None = None,
 ) -> dict[str, str]:
     """Convert every discovered table once; returns table -> Parquet path.
 
-    Each file of a fact table is sorted by its concept, so row-group statistics let a concept
+    With ``buckets``, tables of persons are dealt to so many files by person, which ``ClinicalTables.from_buckets`` opens; joins and
+    groupings by person then shuffle no facts. Else nothing is shuffled, and each file of a fact table is sorted by its concept, so row-group statistics let a concept
     filter skip most of the table. Sorting within tasks needs no shuffle.
     """
     written = {}
-    for table, paths in discover_tables(spark, folder).items():
-        if tables is not None and table not in tables:
-            continue
-        df = read_csv_table(spark, paths, table, union_by_name=union_by_name, delimiter=delimiter, multi_line=multi_line)
+    wanted = {t: p for t, p in discover_tables(spark, folder).items() if tables is None or t in tables}
+    frames = {t: read_csv_table(spark, p, t, union_by_name=union_by_name, delimiter=delimiter, multi_line=multi_line) for t, p in wanted.items()}
+    if buckets:
+        return {t: f"{target.rstrip('/')}/{t}" for t in write_buckets(spark, frames, target, buckets)}
+    for table, df in frames.items():
         order = CONCEPT_COLUMN.get(table)
         if order in df.columns:
             df = df.sortWithinPartitions(order)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import within
+from .buckets import open_buckets
 from .csv_tables import discover_tables, read_csv_table, resolve_path
 from .membership import MEMBER_BYTES, Membership
 from .schemas import TABLE_TYPES
@@ -61,6 +62,11 @@ class ClinicalTables:
     def from_parquet(cls, spark: SparkSession, paths: Mapping[str, str]) -> ClinicalTables:
         return cls(spark, {t: (lambda p=p: lower_names(spark.read.parquet(p))) for t, p in paths.items()})
 
+    @classmethod
+    def from_buckets(cls, spark: SparkSession, folder: str) -> ClinicalTables:
+        """Tables that were converted with ``buckets``."""
+        return cls(spark, open_buckets(spark, folder))
+
     @property
     def names(self) -> list[str]:
         return sorted(self._sources)

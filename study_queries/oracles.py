@@ -508,6 +508,7 @@ CHECKS: dict[str, str] = {
                COUNT(*) FILTER (WHERE visits_before_entry >= 1) AS n_with_visit FROM w_cohort""",
     "exposure_events": "SELECT person_id, concept_id, event_date, event_id FROM exposures",
     "first_exposure": "SELECT person_id, exposure_date, exposure_concept_id FROM first_use",
+    "bucketed_cohort": "SELECT * FROM cohort",
     "observation_islands": _islands(0),
     "observation_islands_gap": _islands(180),
     "follow_up_islands": f"""

@@ -15,6 +15,7 @@ from cohortry.operators import matching, propensity, survival, windowed
 from cohortry.plans import steps
 from cohortry.scale import stage, staging_root
 from cohortry.sources import concept_files, csv_tables
+from cohortry.sources.buckets import open_buckets, write_buckets
 from cohortry.sources.membership import Membership
 from cohortry.sources.concept_files import ConceptSpec, exploded_ids
 from cohortry.sources.sinks import read_back, save_with_suffix, write_csv, write_matching
@@ -356,6 +357,16 @@ def csv_quoted(c):
     return csv_tables.read_csv_table(c.spark, path, types={"doc_id": "bigint"})
 
 
+@query
+def bucketed_cohort(c):
+    """The cohort over tables that were dealt to buckets by person."""
+    folder = _csv_folder(c)
+    names = ("person", "concept", "concept_ancestor", "condition_occurrence", "measurement", "observation_period", "visit_occurrence", "death")
+    write_buckets(c.spark, {n: c.tables[n] for n in names}, folder, 8, f"b{uuid4().hex[:8]}")
+    tables = ClinicalTables(c.spark, open_buckets(c.spark, folder, f"b{uuid4().hex[:8]}"))
+    return steps.study_cohort(tables, steps.resolve_sets(tables, STUDY), STUDY)
+
+
 @query
 def csv_delimited(c):
     """A vocabulary export with tabs; the reader finds the delimiter."""

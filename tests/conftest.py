@@ -18,6 +18,7 @@ def spark():
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="warehouse-", dir="/tmp"),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
