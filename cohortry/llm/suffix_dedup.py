@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,8 +36,8 @@ from .storage import freed, new_folder, rows_in_slices, ship
 LENGTH, GRAM = 50, 20
 #: Anchors a string can have: grams in it.
 REACH = LENGTH - GRAM + 1
-#: Bytes of text a map step collapses together, and of segments that one suffix array holds (about 150 MB of arrays).
-BATCH_BYTES, ARRAY_BYTES = 8 << 20, 1 << 20
+#: Bytes of text a map step collapses together, and segments that are solved together (one suffix array of at most 2 MB, unless an anchor has more).
+BATCH_BYTES, ARRAY_ROWS = 8 << 20, 24_576
 NO_ID = 2**63 - 1
 #: Different segments that one suffix array holds of one anchor; larger anchors, such as the edge of a very common line, are parted.
 LARGE = 30_000
@@ -299,47 +300,60 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
+def _solved(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The runs of whole anchors."""
+    names, kinds = ["anchor", "mark", "since", "until", "first"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+    anchor, mark, first = (rows[c].to_numpy() for c in ("anchor", "mark", "first"))
+    segment = rows["segment"].combine_chunks()
+    order = np.lexsort((mark, anchor))
+    fresh = np.concatenate([[True], (np.diff(anchor[order]) != 0) | (np.diff(mark[order]) != 0)])
+    one = order[fresh]  # a row of each different segment
+    least = np.minimum.reduceat(first[order], np.flatnonzero(fresh))
+    anchor, mark = anchor[one], mark[one]
+    begins = np.flatnonzero(np.concatenate([[True], np.diff(anchor) != 0]))
+    counts = np.diff(np.append(begins, len(anchor)))
+    # One segment alone has no other to share a string with.
+    alone = begins[counts == 1]
+    until = pc.binary_length(segment.take(pa.array(one[alone]))).to_numpy(zero_copy_only=False) - (LENGTH - 1)
+    yield pa.record_batch([pa.array(c, k) for c, k in zip((anchor[alone], mark[alone], np.zeros(len(alone), np.int32), until, least[alone]), kinds)], names)
+    several = np.flatnonzero(np.repeat(counts > 1, counts))
+    if len(several):
+        found = earliest(segment.take(pa.array(one[several])).to_pylist(), least[several])
+        lengths = np.array([len(x) for x in found])
+        values, ends = np.concatenate(found), np.cumsum(lengths)
+        cut = np.concatenate([[True], np.diff(values) != 0])
+        cut[ends[:-1]] = True
+        at = np.flatnonzero(cut)
+        owner = np.searchsorted(ends, at, "right")
+        since = at - (ends - lengths)[owner]
+        until = np.append(at[1:], len(values)) - (ends - lengths)[owner]
+        own = several[owner]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip((anchor[own], mark[own], since, until, values[at]), kinds)], names)
+
+
 def _sorted_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, mark, since, until, first): the smallest document of each string of each segment, as runs of places.
 
     Rows come sorted by anchor; whole anchors are gathered until a suffix array is full.
     """
-
-    def solved(groups: list[dict[int, tuple[bytes, int]]], anchors_: list[int]) -> pa.RecordBatch:
-        rows = []
-        several = [(a, mark, *found) for a, g in zip(anchors_, groups) if len(g) > 1 for mark, found in g.items()]
-        # One segment alone has no other to share a string with.
-        for a, g in zip(anchors_, groups):
-            if len(g) == 1:
-                (mark, (segment, first)), = g.items()
-                rows.append((a, mark, 0, len(segment) - LENGTH + 1, first))
-        if several:
-            found = earliest([x[2] for x in several], np.array([x[3] for x in several], np.int64))
-            for (a, mark, *_), least in zip(several, found):
-                cuts = np.nonzero(np.diff(least))[0] + 1
-                for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(least)]):
-                    rows.append((a, mark, low, high, int(least[low])))
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()])], ["anchor", "mark", "since", "until", "first"])
-
-    groups: list[dict[int, tuple[bytes, int]]] = []
-    owners: list[int] = []
+    held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        for anchor, mark, segment, first in zip(*(batch[c].to_pylist() for c in ("anchor", "mark", "segment", "first"))):
-            if not owners or owners[-1] != anchor:
-                if size >= ARRAY_BYTES:
-                    yield solved(groups, owners)
-                    groups, owners, size = [], [], 0
-                owners.append(anchor)
-                groups.append({})
-            known = groups[-1].get(mark)
-            if known is None:
-                size += len(segment)
-                groups[-1][mark] = segment, first
-            elif first < known[1]:
-                groups[-1][mark] = segment, first
-    if owners:
-        yield solved(groups, owners)
+        for at in range(0, batch.num_rows, ARRAY_ROWS):
+            part = batch.slice(at, ARRAY_ROWS)
+            held.append(part)
+            size += part.num_rows
+            if size < ARRAY_ROWS:
+                continue
+            rows = pa.Table.from_batches(held)
+            anchor = rows["anchor"].to_numpy()
+            whole = int(np.searchsorted(anchor, anchor[-1]))
+            if whole:
+                yield from _solved(rows.slice(0, whole))
+                held = rows.slice(whole).to_batches()
+                size = rows.num_rows - whole
+    if held:
+        yield from _solved(pa.Table.from_batches(held))
 
 
 RUNS = "anchor long, mark long, since int, until int, first long"
