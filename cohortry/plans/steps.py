@@ -15,6 +15,7 @@ from ..scale import scratch, stage
 from ..sources.concept_files import ConceptSpec, load_drug_specs, load_feature_csv, load_lab_json
 from ..sources.csv_tables import read_csv_table, resolve_path
 from ..sources.membership import Membership
+from ..sources.results import write_results
 from ..sources.sinks import write_matching, write_table
 from ..sources.tables import ClinicalTables
 from .study import EVIDENCE, Study
@@ -261,6 +262,14 @@ def write_study(result: StudyResult, study: Study, fmt: str = "parquet") -> dict
     return written
 
 
+def commit_study(result: StudyResult, study: Study, fmt: str = "parquet") -> str:
+    """All frames of a study as one set that is in force only when whole; ``read_results(spark, output_dir, cohort_name)`` reads it."""
+    frames = {**result.arm_frames(), **result.reports()}
+    if result.pairs is not None:
+        frames |= {"match_pairs": result.pairs, "matched": result.matched, "balance_stats": result.balance}
+    return write_results(frames, study.output_dir, study.cohort_name, fmt)
+
+
 def run_and_write(tables: ClinicalTables, study: Study, fmt: str = "parquet") -> dict[str, str]:
     """A whole study to files; what it staged on the way is removed."""
     with scratch(tables.spark):

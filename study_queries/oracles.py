@@ -509,6 +509,7 @@ CHECKS: dict[str, str] = {
     "exposure_events": "SELECT person_id, concept_id, event_date, event_id FROM exposures",
     "first_exposure": "SELECT person_id, exposure_date, exposure_concept_id FROM first_use",
     "bucketed_cohort": "SELECT * FROM cohort",
+    "written_results": "SELECT user_person_id, nonuser_person_id, ROUND(gap, 6) AS ps_distance FROM pairs",
     "observation_islands": _islands(0),
     "observation_islands_gap": _islands(180),
     "follow_up_islands": f"""

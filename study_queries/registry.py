@@ -17,6 +17,7 @@ from cohortry.scale import stage, staging_root
 from cohortry.sources import concept_files, csv_tables
 from cohortry.sources.buckets import open_buckets, write_buckets
 from cohortry.sources.membership import Membership
+from cohortry.sources.results import read_results, write_results
 from cohortry.sources.concept_files import ConceptSpec, exploded_ids
 from cohortry.sources.sinks import read_back, save_with_suffix, write_csv, write_matching
 from cohortry.sources.tables import ClinicalTables
@@ -367,6 +368,14 @@ def bucketed_cohort(c):
     return steps.study_cohort(tables, steps.resolve_sets(tables, STUDY), STUDY)
 
 
+@query
+def written_results(c):
+    """The content of a set of results that was written whole and checked when read."""
+    folder = _csv_folder(c)
+    write_results({"match_pairs": c.pairs, "arms": c.arms}, folder, "trial", "csv")
+    return rounded(read_results(c.spark, folder, "trial")["match_pairs"], "ps_distance")
+
+
 @query
 def csv_delimited(c):
     """A vocabulary export with tabs; the reader finds the delimiter."""
