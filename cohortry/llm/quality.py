@@ -171,18 +171,18 @@ def train_lines(docs: DataFrame, labels: DataFrame, documents: int = TRAIN_DOCS,
     return LineField.trained([(np.frombuffer(bytes(r.rows), np.uint8).reshape(-1, len(FEATURES)).astype(np.float64), r.quality) for r in rows])
 
 
-OUT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
+OUT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
 
 
 def judged(docs: DataFrame, field: LineField, least: float = LEAST_CONTENT) -> DataFrame:
     """Counts, share of content and verdict of every row; null or empty texts have no words and fail.
 
-    base_failed: fewer than 50 words, or over half of them in repeated 3-word windows.
+    Repeated rows are judged each; no rows give no rows; other columns and their names don't matter. base_failed: fewer than 50 words, or over half of them in repeated 3-word windows.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in OUT.split(", ")]
-        kinds = [pa.int64()] * 6 + [pa.bool_(), pa.float64(), pa.bool_()]
+        kinds = [pa.int64()] * 6 + [pa.bool_(), pa.bool_(), pa.float64()]
         for batch in rows_in_slices(batches):
             rows = []
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
@@ -194,7 +194,7 @@ def judged(docs: DataFrame, field: LineField, least: float = LEAST_CONTENT) -> D
                 sizes = [len(line.strip(SPACE)) for line in lines]
                 whole = sum(sizes)
                 share = sum(s for s, state in zip(sizes, states) if state) / whole if whole else 0.0
-                rows.append((doc, *counts, failed, share, not failed and share >= least))
+                rows.append((doc, *counts, failed, not failed and share >= least, share))
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     return texts(docs).mapInArrow(judge, OUT)

@@ -108,13 +108,13 @@ def sharded(docs: DataFrame, shards: int = 24, ranges: int = RANGES, range_rows:
     large = {r.group for r in by_group.where(F.col("bytes") * (shards * WHOLE) > total).collect()}
     cuts = sorted(_cuts(_drawn(rows, total, DRAWS * wanted), wanted, large))
     most = OVERFULL * total / wanted
-    for _ in range(2):
+    while True:
         parts = _ranged(rows, cuts, "part")
         found = {r.part: (r.bytes, r.n) for r in parts.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("size").alias("n")).collect()}
         overfull = [p for p, (b, n) in found.items() if b > most and n > 1]
         if not overfull:
             break
-        # A second draw inside the overfull ranges alone.
+        # Another draw inside the overfull ranges alone, until none is left or no cut is new: one row, or one text that stays together.
         excess = sum(found[p][0] for p in overfull)
         more = _drawn(parts.where(F.col("part").isin(overfull)), excess, DRAWS * -(-excess * wanted // max(1, total)))
         numbers = range_number(np.array([g for g, *_ in more], np.int64), np.array([p for _, p, _ in more], np.int64), cuts) if more else []
@@ -122,9 +122,10 @@ def sharded(docs: DataFrame, shards: int = 24, ranges: int = RANGES, range_rows:
         for number, drawn in zip(numbers, more):
             by_part[int(number)].append(drawn)
         new = (_cuts(drawn, max(2, -(-found[p][0] * wanted // total)), large) for p, drawn in by_part.items())
-        cuts = sorted({*cuts}.union(*new))
-    parts = _ranged(rows, cuts, "part")
-    found = {r.part: (r.bytes, r.n) for r in parts.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("size").alias("n")).collect()}
+        further = {*cuts}.union(*new)
+        if len(further) == len(cuts):
+            break
+        cuts = sorted(further)
     placed = _lightest({p: b for p, (b, _) in found.items()}, shards)
     base, used = {}, [0] * shards
     for part in sorted(found):

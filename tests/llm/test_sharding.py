@@ -61,3 +61,19 @@ def test_range_number():
     keys = [(0, 9), (1, -9), (1, -5), (2, 0), (3, -9), (3, -5), (3, 1), (3, 2), (3, 8), (3, 9), (4, -9)]
     got = sharding.range_number(np.array([g for g, _ in keys]), np.array([p for _, p in keys]), cuts)
     assert got.tolist() == [sum(c <= k for c in cuts) for k in keys]
+
+
+def test_ranges_are_divided_until_none_is_overfull(spark):
+    """Few first draws leave overfull ranges; one text under the large limit in many rows stays together all the same."""
+    import random
+
+    chance = random.Random(3)
+    docs = [(i, "x" * chance.choice([1, 5, 50, 4000])) for i in range(2000)] + [(3000 + i, "same " * 20) for i in range(30)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = sharding.sharded(frame, shards=4, ranges=32).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(d for d, _ in docs)
+    sizes = [sum(r.size for r in rows if r.shard == s) for s in range(4)]
+    assert max(sizes) <= 1.1 * sum(sizes) / 4
+    assert len({r.shard for r in rows if r.doc_id >= 3000}) == 1
+    for s in range(4):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
