@@ -11,6 +11,7 @@ from cohortry.plans import steps
 from cohortry.plans.study import WINDOWED
 from cohortry.scale import stage
 from cohortry.sources.csv_tables import convert_to_parquet
+from cohortry.sources.results import read_results
 from cohortry.sources.sinks import write_csv
 from cohortry.sources.tables import ClinicalTables
 from study_queries.study_setup import DRUGS, STUDY, WINDOWED_STUDY
@@ -163,6 +164,10 @@ def test_whole_study(tables, study, spark, folder):
         assert spark.read.option("header", True).csv(path).columns, name
     assert spark.read.option("header", True).csv(written["match_pairs"]).count() == len(pairs)
     assert {"users", "nonusers", "users_eligible", "nonusers_with_covariates", "matched_users", "balance_stats", "cox"} <= set(written)
+    steps.commit_study(result, study.with_changes(output_dir=f"{folder}/whole"))
+    back = read_results(spark, f"{folder}/whole", study.cohort_name)
+    assert sorted(map(repr, back["match_pairs"].collect())) == sorted(map(repr, result.pairs.collect()))
+    assert {"users", "matched", "attrition", "cox"} <= set(back)
 
 
 def test_study_from_csv_export_and_json(spark, tables, folder):
