@@ -117,7 +117,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """(doc_id, item_id, start, n_words, distance, similarity): the best window of each document for each item it holds.
 
     Of equally similar windows the first. Null or empty texts and items hold nothing and are held by nothing; repeated rows
-    are reported once, documents without an id with a null id.
+    are reported once, documents without an id with a null id. An empty table of documents or items gives no rows. Only ids and texts are read.
     """
     items = indexed_items(benchmark)
     found = stage(candidate_windows(docs, items, similarity))

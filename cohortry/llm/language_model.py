@@ -333,7 +333,10 @@ OUT = "doc_id long, n_tokens long, n_known long, base_score double, score double
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; a null or empty text is its end alone."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; a null or empty text is its end alone.
+
+    Repeated rows are scored each, rows without an id too (not held out); no rows give no rows. Only id and text are read, so other columns don't matter.
+    """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64()] * 3 + [pa.float64()] * 2

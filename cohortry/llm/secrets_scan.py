@@ -120,7 +120,7 @@ def _joined(condition: Column) -> Column:
 def scanned(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every row; spans holds all, base ones included.
 
-    Null and empty texts have no spans; repeated rows are reported each.
+    Null and empty texts have no spans; repeated rows are reported each; no rows give no rows. Only id and text are read.
     """
     matched = _matched(docs)
     found = _with_links(matched)

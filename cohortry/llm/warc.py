@@ -76,7 +76,8 @@ def with_originals(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
     Null html is an empty payload. The largest id of each digest is aggregated before the shuffle, and the join
     back is one that adaptive execution splits where one payload is very common. Pages without an id
-    refer to the largest id of their payload; without any such id they are responses.
+    refer to the largest id of their payload; without any such id they are responses. Very long html is one payload like any other; other
+    columns are not read; no rows give no rows.
     """
     ship(pages.sparkSession)
     rows = pages.select(
@@ -89,7 +90,7 @@ def with_originals(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, least_bytes: int = 0, compress: bool = True) -> DataFrame:
-    """Writes a record per page; one row per file: path, n_records."""
+    """Writes a record per page, repeated rows too; one row per file: path, n_records. No pages give no file."""
     spark = pages.sparkSession
     folder, suffix = new_folder(spark, "warc"), ".warc.gz" if compress else ".warc"
 
