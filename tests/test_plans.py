@@ -14,6 +14,7 @@ from cohortry.sources.csv_tables import convert_to_parquet
 from cohortry.sources.results import read_results
 from cohortry.sources.sinks import write_csv
 from cohortry.sources.tables import ClinicalTables
+from study_queries import registry
 from study_queries.study_setup import DRUGS, STUDY, WINDOWED_STUDY
 from study_queries.views import VIEWS, clinical_tables
 
@@ -210,3 +211,9 @@ def test_study_from_csv_export_and_json(spark, tables, folder):
 
     want = arms(tables)
     assert want and arms(stored) == want and arms(direct) == want
+
+
+@pytest.mark.parametrize("name, most", [("combined_arms", 2), ("non_users_clean", 3), ("non_users", 1), ("users", 1)])
+def test_arms_hold_only_their_own_joins(spark, shuffle_joins, name, most):
+    """Each sorted side of a join holds memory until its stage ends; the cohort's joins belong to earlier stages."""
+    assert plan_of(registry.run(name, spark, FOLDER)).count("SortMergeJoin") <= most
