@@ -83,15 +83,18 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, hashes[at]
 
 
-def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffixes of ``text`` (small non-negative integers) in the order of their first LENGTH values at least, by two-stage sorting."""
+def suffix_order(text: np.ndarray, words: list[np.ndarray] | None = None) -> np.ndarray:
+    """Suffixes of ``text`` (small non-negative integers) in the order of their first LENGTH values at least, by two-stage sorting.
+
+    ``words`` are its ``prefix_words``, where they are at hand.
+    """
     n = len(text)
     step = np.sign(np.diff(text.astype(np.int32), append=-1))
     # Equal neighbours take the direction of the next different one; the last suffix has no successor and counts as larger.
     known = np.where(step != 0, np.arange(n), n)
     after = np.minimum.accumulate(known[::-1])[::-1]
     smaller = step[np.minimum(after, n - 1)] > 0
-    words = prefix_words(text)
+    words = prefix_words(text) if words is None else words
     direct = np.nonzero(smaller)[0]
     direct = direct[np.lexsort([words[k][direct] for k in reversed(range(len(words)))])]
     first = text[direct]
@@ -130,25 +133,28 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
 
 
 def prefix_words(text: np.ndarray) -> list[np.ndarray]:
-    """The first LENGTH values of each suffix, seven to a word of nine-bit fields, as sortable integers."""
-    n = len(text)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(LENGTH + 7, np.uint64)])
-    seven = np.zeros(n + LENGTH, np.uint64)
-    for k in range(7):
-        seven = (seven << np.uint64(9)) | padded[k : k + n + LENGTH]
-    words = [seven[7 * k : 7 * k + n] for k in range(LENGTH // 7)]
-    rest = LENGTH % 7
-    if rest:
-        words.append(seven[LENGTH - rest : LENGTH - rest + n] >> np.uint64(9 * (7 - rest)))
-    return words
-
-
-def long_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The first LENGTH values of each suffix as sortable integers, as many values to a word of 64 bits as their number of kinds allows."""
+    n, kinds = len(text), max(2, int(text.max(initial=0)) + 1)
+    fits = max(k for k in range(1, LENGTH + 1) if kinds**k <= 1 << 64)
+    padded = np.concatenate([text.astype(np.uint64), np.zeros(LENGTH + fits, np.uint64)])
+    full, rest = np.zeros(n + LENGTH, np.uint64), LENGTH % fits
+    short = full
+    for k in range(fits):
+        full *= np.uint64(kinds)
+        full += padded[k : k + n + LENGTH]
+        if k + 1 == rest:
+            short = full.copy()
+    words = [full[fits * k : fits * k + n] for k in range(LENGTH // fits)]
+    return [*words, short[LENGTH - rest : LENGTH - rest + n]] if rest else words
+
+
+def long_prefixes(words: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     """For each suffix in order, whether it shares LENGTH values or more with the one before it."""
     same = np.ones(len(order), bool)
     same[:1] = False
-    for word in prefix_words(text):
-        same[1:] &= word[order[1:]] == word[order[:-1]]
+    for word in words:
+        ordered = word[order]
+        same[1:] &= ordered[1:] == ordered[:-1]
     return same
 
 
@@ -158,10 +164,14 @@ def earliest(segments: list[bytes], firsts: np.ndarray) -> list[np.ndarray]:
     text = np.frombuffer(b"\x00".join(segments) + b"\x00", np.uint8).astype(np.int16) + 1
     starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
     text[starts + lengths] = 0
+    # Only the bytes in use are numbered, so that more of them fit a word and fewer words are sorted by.
+    used = np.bincount(text) > 0
+    text = (np.cumsum(used) - 1).astype(np.int16)[text]
     owner = np.repeat(np.arange(len(segments)), lengths + 1)
     room = (starts + lengths)[owner] - np.arange(len(text))
-    order = suffix_order(text)
-    same = long_prefixes(text, order)
+    words = prefix_words(text)
+    order = suffix_order(text, words)
+    same = long_prefixes(words, order)
     run = np.cumsum(~same) - 1
     least = np.full(int(run[-1]) + 1, NO_ID, np.int64)
     np.minimum.at(least, run, firsts[owner[order]])

@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from cohortry.llm import queries, suffix_dedup as D
@@ -107,3 +108,25 @@ def test_small_batches_and_arrays_change_nothing(spark, monkeypatch):
             covered[max(0, p - D.REACH + 1) : p + 1] = True
             segments.setdefault(h, set()).add(data[max(0, p - D.REACH + 1) : p + 50])
         assert covered.all()
+
+
+@pytest.mark.parametrize("kinds, words", [(2, 1), (84, 5), (138, 6), (246, 7), (257, 8)])
+def test_words_hold_as_many_values_as_fit(kinds, words):
+    """Suffixes compare by their words as by their values; fewer kinds of bytes need fewer words."""
+    rng = np.random.default_rng(kinds)
+    text = np.concatenate([rng.integers(0, kinds, 120), np.full(60, kinds - 1), rng.integers(0, min(kinds, 2), 200)]).astype(np.int16)
+    found = D.prefix_words(text)
+    assert len(found) == words
+    padded = [*text.tolist(), *[0] * D.LENGTH]
+    wanted = sorted(range(len(text)), key=lambda i: padded[i : i + D.LENGTH])
+    assert np.lexsort(found[::-1]).tolist() == wanted
+
+
+def test_bytes_in_use_are_numbered_in_the_arrays(monkeypatch):
+    widths = []
+    words = D.prefix_words
+    monkeypatch.setattr(D, "prefix_words", lambda text: widths.append(int(text.max())) or words(text))
+    same = bytes(range(97, 123)) * 2 + b"\xff"
+    got = D.earliest([b"zz" + same, same], np.array([5, 3]))
+    assert [x.tolist() for x in got] == [[5, 5, 3, 3, 3, 3], [3, 3, 3, 3]]
+    assert widths == [27]
