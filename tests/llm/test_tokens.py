@@ -133,3 +133,36 @@ def test_files_of_odd_rows_with_small_blocks(odd_docs, no_docs):
         if last <= reader.total:
             assert reader.ids(first, last).tolist() == whole[first:last].tolist()
     assert token_files.read_token_files(token_files.write_token_files(no_docs, BYTE, 0)).collect() == []
+
+
+def test_byte_vocabularies_need_no_offsets():
+    """Ids of a byte vocabulary say how many bytes they stand for, so rows of pieces are cut without the library's offsets."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder = WordEncoder(path)
+    library = coder.library
+
+    class NoOffsets:
+        def __getattr__(self, name):
+            if name == "encode":
+                raise AssertionError("a row is encoded with offsets")
+            return getattr(library, name)
+
+    coder.library = NoOffsets()
+    texts = ["plain words and 12 numbers", "", "größer 東京 \U0001f600 naïvé x", " lead\n\n\tand trail \n", "a\x00b ﻿c"]
+    ids, edges = coder.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[edges[i] : edges[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+    # Where widths don't add up to the text, offsets decide after all.
+    coder.library, coder.widths = library, coder.widths + 1
+    coder._forget()
+    again, ends = coder.encode(pa.array(texts))
+    assert again.tolist() == ids.tolist() and ends.tolist() == edges.tolist()
+
+
+def test_changing_vocabularies_keep_offsets():
+    coder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert coder.widths is None
+    texts = ["Größer 東京 don't \U0001f600 x", "a  b\tÉcole 123"]
+    ids, edges = coder.encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[edges[i] : edges[i + 1]].tolist() == coder.library.encode(text, add_special_tokens=False).ids
